@@ -23,8 +23,8 @@ SPACES = r"[\\x20\\x09-\\x0D]"
 WINDOW, ITERATIONS, KEEP = 8, 25, 0.5
 #: Where estimation starts: the share of good documents, how often a vote on a good or a bad document is right (a bad one
 #: breaks few of the rules), and the weight of that belief in documents. Estimates stay within the bounds below.
-PRIOR, RIGHT_ON_GOOD, RIGHT_ON_BAD, SMOOTHING = 0.7, 0.98, 0.25, 2.0
-SHARES, ON_GOOD, ON_BAD = (0.05, 0.85), (0.98, 0.995), (0.2, 0.4)
+PRIOR, RIGHT_ON_GOOD, RIGHT_ON_BAD, SMOOTHING = 0.7, 0.99, 0.2, 2.0
+SHARES, ON_GOOD, ON_BAD = (0.05, 0.85), (0.99, 0.995), (0.1, 0.25)
 
 #: (name, good when, bad when): integer arithmetic only, so that every engine decides alike.
 RULES = (
