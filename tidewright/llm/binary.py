@@ -127,7 +127,7 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     table = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     totals = table.groupBy("shard").agg(F.sum("n_tokens").alias("n"))  # one row per shard
     before = totals.select("shard", F.coalesce(F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    numbered = table.join(before, "shard").select("base", "payload")
+    numbered = table.join(F.broadcast(before), "shard").select("base", "payload")  # broadcast: one row per shard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
