@@ -28,7 +28,7 @@ BEYOND = re.compile("[^\u0000-ɏ]")
 class IdEncoder:
     """Encodes blocks of texts to little-endian unsigned 32-bit ids.
 
-    Pre-tokens that two texts of a block share stay in the memo, up to memo_size of them; the rest live for one block.
+    When the memo is full, only pre-tokens that two texts of some block shared stay in it.
     """
 
     def __init__(self, path: str, memo_size: int = 600_000):
@@ -41,6 +41,7 @@ class IdEncoder:
         self.words.encode_special_tokens = True
         self.words.pre_tokenizer = None
         self.memo: dict[str, bytes] = {}
+        self.shared: set[str] = set()
         self.memo_size = memo_size
 
     def _encoded(self, words: set[str]) -> dict[str, bytes]:
@@ -54,21 +55,20 @@ class IdEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids' bytes of each text, without any end id."""
         cuts = [None if BEYOND.search(t) else CUT.findall(t) for t in texts]
-        new, shared = set(), set()
+        new: set[str] = set()
         for words in cuts:
             if words:
                 fresh = set(words).difference(self.memo)
-                shared |= fresh & new
+                self.shared |= fresh & new
                 new |= fresh
         if len(self.memo) + len(new) > self.memo_size:
-            self.memo.clear()
-            new = set().union(*filter(None, cuts))
+            if len(self.shared) > self.memo_size // 2:
+                self.shared.clear()
+            self.memo = {w: self.memo[w] for w in self.shared & self.memo.keys()}
+            new = set().union(*filter(None, cuts)).difference(self.memo)
         self.memo.update(self._encoded(new))
         lookup = self.memo.__getitem__
-        out = [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(lookup, words)) for t, words in zip(texts, cuts)]
-        for word in new - shared:
-            del self.memo[word]
-        return out
+        return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(lookup, words)) for t, words in zip(texts, cuts)]
 
 
 _encoders: dict[str, IdEncoder] = {}
