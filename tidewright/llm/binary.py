@@ -87,7 +87,7 @@ class Block:
         return np.frombuffer(raw, f"<u{self.item}").astype("<u4")
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, item: int = 2, shards: int | None = None, level: int = 3) -> None:
+def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, item: int = 2, shards: int | None = None, level: int = 1) -> None:
     """Writes the files of all documents below path. item: bytes of an id, 2 where the vocabulary has at most 65,536 ids, else 4.
 
     The dictionary is trained on the first DICTIONARY_DOCS documents that the scan gives; it decides the files' size only.
