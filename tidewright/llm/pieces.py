@@ -3,9 +3,9 @@
 A text is escaped (space to U+2581, a leading one added) and cut before every run of U+2581: no piece of the vocabulary has one
 behind another character, so merges never cross a cut and each chunk has an agenda of its own. The agenda takes
 the adjacent pair of best score, leftmost first. With dropout, a candidate (left offset, merged piece) is skipped when its
-keyed hash falls below the rate: hash(seed, variant, chunk, offset, piece). The variant of a chunk's occurrence is drawn by
-hash(seed, doc_id, ordinal) from `variants` many, so one word is cut in several ways, a rerun gives the same ids, and chunks
-that recur with a variant are encoded once per worker. Agendas of all new chunks of a block advance together in numpy.
+keyed hash falls below the rate: hash(seed, variant, chunk, offset, piece). Each run of RUN chunks of a document draws its
+variant by hash(seed, doc_id, run) from `variants` many, so one word is cut in several ways, a rerun gives the same ids, and
+chunks that recur with a variant are encoded once per worker. Agendas of all new chunks of a block advance together in numpy.
 
 Characters without a piece become byte pieces. A literal U+2581 in a text becomes byte pieces too (the library would
 turn it into a space), so decode(encode(text)) == text for every text. Null text: empty, no ids. A null doc_id draws as 0. Repeated
@@ -27,8 +27,8 @@ from .common import blocks, vocabulary
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-DROPOUT, VARIANTS, SEED, MEMO = 0.1, 8, 7, 400_000
-BATCH_CHUNKS = 20_000
+DROPOUT, VARIANTS, SEED, MEMO, RUN = 0.1, 4, 7, 400_000, 128
+BATCH_CHUNKS, BLOCK = 20_000, 3_000_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -114,7 +114,8 @@ class PieceEncoder:
             raise ValueError("the rate must be between 0 and 1")
         self.table = PieceTable(path)
         self.rate, self.seed, self.variants, self.memo_size = rate, seed, variants if rate else 1, memo
-        self.memo: dict[str, bytes] = {}
+        self.memos: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
+        self.shared: list[set[str]] = [set() for _ in range(self.variants)]
 
     def agenda(self, chunks: list[str], keys: list[int]) -> list[bytes]:
         """Runs the agendas of all chunks together; every round makes the best allowed merge of each chunk."""
@@ -172,42 +173,41 @@ class PieceEncoder:
         return first + [c for chunks in rest for c in ["", *chunks]]
 
     def draw(self, doc_id: int, n: int) -> list[int]:
-        """The variant of each chunk of a document."""
+        """The variant of each run of a document."""
         base = mix(np.array([(doc_id & 0xFFFFFFFFFFFFFFFF) ^ (self.seed << 20)], "u8"))
         return (mix(base + np.arange(n, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.variants)).tolist()
 
-    def encode(self, doc_ids: list[int | None], texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit bytes."""
-        cuts = []
-        for doc_id, text in zip(doc_ids, texts):
-            chunks = self.escape(text)
-            if self.variants > 1:
-                chunks = [c + v for c, v in zip(chunks, map(VARIANT_MARKS.__getitem__, self.draw(doc_id or 0, len(chunks))))]
-            cuts.append(chunks)
-        new, shared = set(), set()
-        for chunks in cuts:
-            fresh = set(chunks).difference(self.memo)
-            shared |= fresh & new
-            new |= fresh
-        if len(self.memo) + len(new) > self.memo_size:
-            self.memo.clear()
-            new = set().union(*cuts)
-        # chunks of like length together, so that a long one does not widen the others' rows
-        order = sorted(new, key=len)
-        at = 0
+    def _learn(self, variant: int, chunks: set[str]) -> None:
+        order, at = sorted(chunks, key=len), 0  # of like length together, so that a long one does not widen the others' rows
         while at < len(order):
             step = max(1, min(BATCH_CHUNKS, 2_000_000 // max(1, len(order[min(at + BATCH_CHUNKS, len(order)) - 1]))))
             part = order[at : at + step]
-            if self.variants > 1:
-                plain, marks = [c[:-1] for c in part], [ord(c[-1]) - FIRST_MARK for c in part]
-            else:
-                plain, marks = part, [0] * len(part)
-            self.memo.update(zip(part, self.agenda(plain, [chunk_key(self.seed, v, c) for c, v in zip(plain, marks)])))
+            self.memos[variant].update(zip(part, self.agenda(part, [chunk_key(self.seed, variant, c) for c in part])))
             at += step
-        out = [b"".join(map(self.memo.__getitem__, chunks)) for chunks in cuts]
-        for chunk in new - shared:
-            del self.memo[chunk]
-        return out
+
+    def encode(self, doc_ids: list[int | None], texts: list[str]) -> list[bytes]:
+        """The ids of each text as little-endian unsigned 32-bit bytes."""
+        cuts: list[list[tuple[int, list[str]]]] = []
+        for doc_id, text in zip(doc_ids, texts):
+            chunks = self.escape(text)
+            runs = range(0, len(chunks), RUN)
+            cuts.append(list(zip(self.draw(doc_id or 0, len(runs)), (chunks[i : i + RUN] for i in runs))))
+        new: list[set[str]] = [set() for _ in self.memos]
+        for runs in cuts:
+            for v, chunks in runs:
+                fresh = set(chunks).difference(self.memos[v])
+                self.shared[v] |= fresh & new[v]
+                new[v] |= fresh
+        if sum(map(len, self.memos)) + sum(map(len, new)) > self.memo_size:
+            for v, (memo, shared) in enumerate(zip(self.memos, self.shared)):
+                if len(shared) > self.memo_size // (2 * self.variants):
+                    shared.clear()
+                self.memos[v] = {c: memo[c] for c in shared & memo.keys()}
+                new[v] = set().union(*(chunks for runs in cuts for w, chunks in runs if w == v)).difference(self.memos[v])
+        for v, chunks in enumerate(new):
+            self._learn(v, chunks)
+        found = [memo.__getitem__ for memo in self.memos]
+        return [b"".join([i for v, chunks in runs for i in map(found[v], chunks)]) for runs in cuts]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces joined, byte pieces as UTF-8, U+2581 as a space, the leading one removed."""
@@ -219,10 +219,6 @@ class PieceEncoder:
         return text[1:] if text[:1] == " " else text
 
 
-#: A chunk's variant is kept as one private-use character behind it in the memo's keys.
-FIRST_MARK = 0xF0000
-VARIANT_MARKS = [chr(FIRST_MARK + v) for v in range(256)]
-
 _encoders: dict[tuple, PieceEncoder] = {}
 
 
@@ -235,13 +231,13 @@ def encoder(path: str, rate: float, seed: int, variants: int) -> PieceEncoder:
 
 def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
     """doc_id, ids (little-endian u4 bytes), n_ids of every document."""
-    if not 1 <= variants <= len(VARIANT_MARKS):
-        raise ValueError("variants must be between 1 and 256")
+    if variants < 1:
+        raise ValueError("at least one variant is needed")
     path = path or vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, rate, seed, variants)
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, limit=BLOCK):
             ids = own.encode(batch.column(0).to_pylist(), texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n_ids"])
 
