@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from pyspark.sql import DataFrame, SparkSession
 
+from .plans import audio, queries
 
-def flagship(spark, sf_dir):  # noqa: ANN001, ANN201
-    raise NotImplementedError
+QUERIES = {**queries.QUERIES, **audio.QUERIES}
+ORACLES = dict(queries.ORACLES)
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return queries.page_hosts_platform(spark, sf_dir)
