@@ -41,4 +41,5 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def event_windows(stream: DataFrame, time: str = "ts", delay: str = "10 minutes", size: str = "1 hour") -> DataFrame:
     """Counts and sums per event type and tumbling window, late events within the delay included."""
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))  # zoneless times are read in the session's zone
     return stream.withWatermark(time, delay).groupBy(F.window(time, size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
