@@ -165,6 +165,8 @@ def _regions(length: int):  # noqa: ANN202
 
     def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
         h, whole, doc, start, size = (np.concatenate(c) for c in zip(*held))
+        if not len(h):
+            return
         order = np.lexsort((start, doc, whole, h))
         h, whole, doc, start, size = (x[order] for x in (h, whole, doc, start, size))
         again = np.concatenate([[False], (h[1:] == h[:-1]) & (whole[1:] == whole[:-1])])
