@@ -21,7 +21,8 @@ SPACES = "\u0009-\u000d \u0085 "
 CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 #: The byte alphabet: visible bytes stand for themselves, the others follow from 256 on.
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
-ALPHABET = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in VISIBLE)}
+HIDDEN = [b for b in range(256) if b not in VISIBLE]
+ALPHABET = "".join(chr(b if b in VISIBLE else 256 + HIDDEN.index(b)) for b in range(256))
 BEYOND = re.compile("[^\u0000-ɏ]")
 
 
@@ -31,7 +32,7 @@ class IdEncoder:
     When the memo is full, only pre-tokens that two texts of some block shared stay in it.
     """
 
-    def __init__(self, path: str, memo_size: int = 600_000):
+    def __init__(self, path: str, memo_size: int = 800_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
