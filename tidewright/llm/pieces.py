@@ -72,6 +72,7 @@ class PieceTable:
             if len(piece) == 1:
                 self.char[ord(piece)] = i
         self.text = [p.replace(SPACE, " ") for p in self.pieces]
+        self.spelled = np.array(self.text, object)
         self.byte_of = {i: b for b, i in self.byte.items()}
         self.is_byte = np.zeros(n, bool)
         self.is_byte[list(self.byte_of)] = True
@@ -82,10 +83,13 @@ class PieceTable:
 
     def merge(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The merged piece of each pair, -1 where there is none (or a side is -1)."""
-        key = left.astype("i8") << 32 | right.astype("i8")
-        slot = ((key.astype("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype("i8")
-        out = np.where(self.keys[slot] == key, self.merged[slot], -1)
-        todo = np.flatnonzero((self.keys[slot] != key) & (self.keys[slot] != -1))
+        key = left.astype("i8") << 32 | right
+        slot = ((key.view("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).view("i8")
+        found = self.keys[slot]
+        hit = found == key
+        out = np.full(len(key), -1, "i4")
+        out[hit] = self.merged[slot[hit]]
+        todo = np.flatnonzero(~hit & (found != -1))
         for _ in range(1, self.probes):
             if not todo.size:
                 break
@@ -129,16 +133,19 @@ class PieceEncoder:
         sym = np.full((len(chunks), width), -(1 << 30), "i4")
         sym[np.repeat(np.arange(len(chunks)), count), column] = start
         offset = np.tile(np.arange(width, dtype="i4"), (len(chunks), 1))
-        key = np.array(keys, "u8")[:, None]
+        key = np.array(keys, "u8")
         live = np.flatnonzero(count > 1)
         while live.size:
             wide = int(count[live].max())
             s, o = sym[live, :wide], offset[live, :wide]
-            merged = t.merge(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(live), wide - 1)
-            ok = merged >= 0
-            if self.rate:
-                ok &= ~skips(key[live], o[:, :-1], np.maximum(merged, 0), self.rate)
-            score = np.where(ok, t.scores[merged], -np.inf)
+            flat = t.merge(s[:, :-1].ravel(), s[:, 1:].ravel())
+            merged = flat.reshape(len(live), wide - 1)
+            at = np.flatnonzero(flat >= 0)
+            if self.rate and at.size:
+                at = at[~skips(key[live[at // (wide - 1)]], o[:, :-1].ravel()[at], flat[at], self.rate)]
+            score = np.full(flat.shape, -np.inf, "f4")
+            score[at] = t.scores[flat[at]]
+            score = score.reshape(merged.shape)
             best = score.argmax(axis=1)
             rows = np.arange(len(live))
             hit = score[rows, best] > -np.inf
@@ -213,7 +220,7 @@ class PieceEncoder:
         """The text of ids: pieces joined, byte pieces as UTF-8, U+2581 as a space, the leading one removed."""
         t = self.table
         if not t.is_byte[ids].any():
-            text = "".join(map(t.text.__getitem__, ids.tolist()))
+            text = "".join(t.spelled[ids])
         else:
             text = b"".join(bytes([t.byte_of[i]]) if i in t.byte_of else t.text[i].encode() for i in ids.tolist() if i not in t.empty).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
