@@ -103,7 +103,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id:
         shared = dictionary_of(dictionary)
         pack = zstandard.ZstdCompressor(level=level, dict_data=shared) if shared else zstandard.ZstdCompressor(level=level)
         shard, start, encode = TaskContext.get().partitionId(), 0, encoder(tokenizer).encode
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, memo="ids"):
             found = [(d, x + end) for d, x in zip(batch.column(0).to_pylist(), encode(texts))]
             for at in range(0, len(found), BLOCK_DOCS):
                 part = found[at : at + BLOCK_DOCS]

@@ -37,8 +37,20 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Arrow batches cut into slices of bounded text size, with their texts (null: empty)."""
+#: What clears a module's worker-wide memo, by the memo's name.
+MEMOS: dict[str, Callable[[], None]] = {}
+
+
+def release(owner: str = "") -> None:
+    """Frees the memos that a reused worker process still has from other operators."""
+    for name, clear in MEMOS.items():
+        if name != owner:
+            clear()
+
+
+def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_CHARS, memo: str = "") -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Arrow batches cut into slices of bounded text size, with their texts (null: empty). memo: the one memo to keep."""
+    release(memo)
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         start = size = 0
@@ -58,7 +70,7 @@ def texts_of(batch: pa.RecordBatch, text: str) -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(text)).to_pylist()]
 
 
-def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema: str, text: str = "text") -> DataFrame:
+def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], schema: str, text: str = "text", memo: str = "") -> DataFrame:
     """Runs fn over blocks of rows; fn returns the output columns by name, in the order of schema."""
     from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -66,7 +78,7 @@ def map_blocks(df: DataFrame, fn: Callable[[pa.RecordBatch, list[str]], dict], s
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches, text):
+        for batch, texts in blocks(batches, text, memo=memo):
             out = fn(batch, texts)
             yield pa.record_batch([x if isinstance(x, (pa.Array, pa.ChunkedArray)) else pa.array(x, f.type) for x, f in zip(out.values(), arrow)], schema=arrow)
 

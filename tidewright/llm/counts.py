@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_blocks, vocabulary
+from .common import MEMOS, map_blocks, vocabulary
 
 WORD = re.compile("[^ \u0009-\u000d]+")
 SPACE, MEMO = "▁", 400_000
@@ -85,6 +85,7 @@ class LongestMatch:
 
 
 _automata: dict[str, tuple[LongestMatch, dict[str, int]]] = {}
+MEMOS["counts"] = _automata.clear
 
 
 def automaton(path: str) -> tuple[LongestMatch, dict[str, int]]:
@@ -119,7 +120,7 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
             tokens.append(n)
         return {"doc_id": batch.column(0), "n_words": words, "n_tokens": tokens}
 
-    return map_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), run, "doc_id long, n_words long, n_tokens long")
+    return map_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), run, "doc_id long, n_words long, n_tokens long", memo="counts")
 
 
 def op8_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,6 +14,8 @@ from array import array
 
 import numpy as np
 
+from .common import MEMOS
+
 #: Letters, numbers and white space below U+0250, as the vocabulary's published pattern classes them.
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
@@ -73,6 +75,7 @@ class IdEncoder:
 
 
 _encoders: dict[str, IdEncoder] = {}
+MEMOS["ids"] = _encoders.clear
 
 
 def encoder(path: str) -> IdEncoder:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, vocabulary
+from .common import blocks, release, vocabulary
 from .ids import encoder
 
 TIERS, LEAST_WINDOW, STEP_TOKENS, END_ID = (1024, 512, 256, 128), 16, 16_384, 0
@@ -125,6 +125,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release("ids")
         packer, encode = TierPacker(tiers, least), encoder(tokenizer).encode
         high = TaskContext.get().partitionId() << 40
         held: dict[int, tuple[int | None, bytes]] = {}
@@ -145,7 +146,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
             group += max(dealt, default=-1) + 1
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int32() if k == 7 else pa.int64()) for k, c in enumerate(out)], names=[x.split()[0] for x in PIECES.split(", ")])
 
-        for batch, texts in blocks(batches):
+        for batch, texts in blocks(batches, memo="ids"):
             found = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
                 held[number] = (doc_id, ids + end)

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, vocabulary
+from .common import MEMOS, blocks, vocabulary
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -227,6 +227,7 @@ class PieceEncoder:
 
 
 _encoders: dict[tuple, PieceEncoder] = {}
+MEMOS["pieces"] = _encoders.clear
 
 
 def encoder(path: str, rate: float, seed: int, variants: int) -> PieceEncoder:
@@ -244,7 +245,7 @@ def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, rate, seed, variants)
-        for batch, texts in blocks(batches, limit=BLOCK):
+        for batch, texts in blocks(batches, limit=BLOCK, memo="pieces"):
             ids = own.encode(batch.column(0).to_pylist(), texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n_ids"])
 

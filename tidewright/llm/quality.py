@@ -24,11 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, map_blocks, read_table
+from .common import held_out, map_blocks, read_table, release
 
 WORD = re.compile("[^ \u0009-\u000d]+")
-SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 4000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 300_000
-AGAIN = "\u0000again"  # no word holds it: it is longer than the features of any text with that character alone
+SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 120_000
+AGAIN = "\u0000again"
 THRESHOLD = 0.7
 
 
@@ -52,21 +52,21 @@ def tokens_of(text: str) -> Counter:
 
 
 def feature_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """The columns keep, and the document's feature numbers and counts."""
+    """The columns keep, and the document's feature numbers (ascending, little-endian i4 bytes) and counts (f4 bytes)."""
 
     def run(batch: pa.RecordBatch, texts: list[str]) -> dict:
         ids, counts, memo = [], [], {}
         for text in texts:
-            found: Counter = Counter()
-            for word, k in tokens_of(text).items():
-                for f in memo.get(word) or memo.setdefault(word, features_of(word)):
-                    found[f] += k
-            ids.append(list(found))
-            counts.append(list(found.values()))
+            tokens = tokens_of(text)
+            parts = [memo[w] if w in memo else memo.setdefault(w, np.array(features_of(w), "<i4")) for w in tokens]
+            every = np.concatenate(parts) if parts else np.zeros(0, "<i4")
+            own, at = np.unique(every, return_inverse=True)
+            ids.append(own.astype("<i4").tobytes())
+            counts.append(np.bincount(at, np.repeat(list(tokens.values()), [len(p) for p in parts]) if parts else None, len(own)).astype("<f4").tobytes())
         return {c: batch.column(batch.schema.get_field_index(c)) for c in keep} | {"ids": ids, "counts": counts}
 
     kinds = dict(docs.dtypes)
-    return map_blocks(docs.select(*keep, "text"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", ids array<int>, counts array<int>")
+    return map_blocks(docs.select(*keep, "text"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", ids binary, counts binary")
 
 
 class Model:
@@ -101,7 +101,7 @@ def train(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS
     rng = np.random.default_rng(seed)
     vectors = rng.uniform(-1 / dim, 1 / dim, (buckets, dim)).astype("f4")
     layer, bias = np.zeros((2, dim), "f4"), np.log(np.array([1 - share, share], "f4"))
-    data = [(i, (c / c.sum()).astype("f4") if len(c) else c.astype("f4"), y) for i, c, y in rows]
+    data = [(i, c / max(c.sum(), 1) if len(c) else c, y) for i, c, y in rows]
     steps, at = epochs * len(data), 0
     for _ in range(epochs):
         for k in rng.permutation(len(data)):
@@ -129,8 +129,8 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(column).cast("int")).alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows: small enough to broadcast
     rows = feature_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id"), ["doc_id", "y"])
-    found = sorted(((r["doc_id"], r["y"], r["ids"], r["counts"]) for r in rows.collect()), key=lambda r: (r[0], r[2]))
-    order = [(np.array(i, "i8"), np.array(c, "f8"), y) for _, y, i, c in found]
+    found = sorted(((r["doc_id"], bytes(r["ids"]), r["y"], bytes(r["counts"])) for r in rows.collect()), key=lambda r: r[:2])
+    order = [(np.frombuffer(i, "<i4"), np.frombuffer(c, "<f4"), y) for _, i, y, c in found]
     return train(order, **settings)
 
 
@@ -156,6 +156,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
 
     @F.pandas_udf("double")
     def scored(texts):  # noqa: ANN001, ANN202
+        release()
         return texts.map(lambda t: shared.value.score(t or ""))
 
     return docs.where(scored(F.col("text")) >= threshold)

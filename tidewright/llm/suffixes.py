@@ -32,7 +32,7 @@ from .anchors import LENGTH, SEGMENT, joined, mix, regions
 from .common import blocks, materialize
 
 SEPARATOR = 0xFF  # in no UTF-8 text
-GROUP, BLOCK_BYTES, NULL_ID = 20_000, 2_000_000, -(1 << 63)
+GROUP, BLOCK_BYTES, NULL_ID = 20_000, 1_000_000, -(1 << 63)
 SPANS = "doc long, start long, stop long"
 
 
@@ -176,7 +176,7 @@ def _regions(length: int):  # noqa: ANN202
         yield _batch("kind h whole doc start size", np.ones(len(d), "i1"), mix(d.view("u8")).view("i8"), np.zeros(len(d), "i8"), d, a, b - a)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches, limit=4_000_000):
+        for batch, texts in blocks(batches, limit=2_000_000):
             held, parts, size = [], [], 0
 
             def flush() -> None:
