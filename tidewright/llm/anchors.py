@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 
-LENGTH, GRAM, SEGMENT = 100, 28, 1 << 20
+LENGTH, GRAM, SEGMENT = 100, 28, 1 << 18
 BASE = 0x9E3779B97F4A7C15
 LOW = np.uint64((1 << 21) - 1)
 
