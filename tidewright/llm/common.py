@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
@@ -41,11 +42,18 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
 MEMOS: dict[str, Callable[[], None]] = {}
 
 
+#: The C library, whose allocator keeps freed memory of a reused worker unless told otherwise (glibc only).
+LIBC = ctypes.CDLL(None)
+
+
 def release(owner: str = "") -> None:
-    """Frees the memos that a reused worker process still has from other operators."""
+    """Frees the memos that a reused worker process still has from other operators, and gives free memory back to the system."""
     for name, clear in MEMOS.items():
         if name != owner:
             clear()
+    pa.default_memory_pool().release_unused()
+    if hasattr(LIBC, "malloc_trim"):
+        LIBC.malloc_trim(0)
 
 
 def blocks(batches: Iterable[pa.RecordBatch], text: str = "text", limit: int = BLOCK_CHARS, memo: str = "") -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -33,6 +33,7 @@ from .common import blocks, materialize
 
 SEPARATOR = 0xFF  # in no UTF-8 text
 GROUP, BLOCK_BYTES, NULL_ID = 20_000, 2_000_000, -(1 << 63)
+CHUNK, ROWS = 1 << 18, 8192  # positions read at once; rows of a batch of region texts
 SPANS = "doc long, start long, stop long"
 
 
@@ -41,7 +42,10 @@ SPANS = "doc long, start long, stop long"
 
 def words_at(text: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Eight bytes from each position as a big-endian number; text is padded by eight at least."""
-    return np.ascontiguousarray(np.lib.stride_tricks.sliding_window_view(text, 8)[at]).view(">u8").ravel().astype("u8")
+    views, out = np.lib.stride_tricks.sliding_window_view(text, 8), np.empty(len(at), "u8")
+    for k in range(0, len(at), CHUNK):
+        out[k : k + CHUNK] = np.ascontiguousarray(views[at[k : k + CHUNK]]).view(">u8").ravel()
+    return out
 
 
 def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
@@ -52,7 +56,7 @@ def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
     order = np.argsort(key, kind="stable")
     at, key = at[order], key[order]
     new = np.concatenate([[True], key[1:] != key[:-1]])
-    run = np.cumsum(new)
+    run = np.cumsum(new, dtype="i4")
     for reach in range(8, depth, 8):
         tied = ~new
         tied[:-1] |= ~new[1:]
@@ -65,12 +69,12 @@ def sort_directly(text: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
         key, own = key[order], run[where]
         fresh = np.concatenate([[True], (key[1:] != key[:-1]) | (own[1:] != own[:-1])])
         new[where] = fresh
-        run = np.cumsum(new)
+        run = np.cumsum(new, dtype="i4")
     return at
 
 
 def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of text[:-depth-8] (a padded text) in the order of their first depth bytes at least, by two-stage sorting."""
+    """Suffixes of text[:-depth-8] (a padded text, below 2 GB) in the order of their first depth bytes at least, by two-stage sorting."""
     n = len(text) - depth - 8
     t = text[:n]
     change = np.flatnonzero(t[1:] != t[:-1]) if n > 1 else np.zeros(0, "i8")
@@ -79,15 +83,15 @@ def suffix_array(text: np.ndarray, depth: int) -> np.ndarray:
         rises = t[change + 1] > t[change]
         lengths = np.diff(np.concatenate([[-1], change]))
         smaller[: change[-1] + 1] = np.repeat(rises, lengths)
-    direct = sort_directly(text, np.flatnonzero(smaller), depth)
+    direct = sort_directly(text, np.flatnonzero(smaller).astype("i4"), depth)
     first = t[direct]
     bounds = np.searchsorted(first, np.arange(257))
     waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
-    waiting[int(t[-1])].append(np.array([n - 1]))
+    waiting[int(t[-1])].append(np.array([n - 1], "i4"))
     out = []
     for c in range(256):
-        part = np.concatenate(waiting[c]) if waiting[c] else np.zeros(0, "i8")
-        levels = []
+        part = np.concatenate(waiting[c]) if waiting[c] else np.zeros(0, "i4")
+        waiting[c], levels = [], []
         while len(part):  # the greater suffixes of the bucket: induced ones, then those that they induce in it
             levels.append(part)
             part = part[part > 0] - 1
@@ -113,11 +117,13 @@ def classes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     alike = np.ones(max(len(order) - 1, 0), bool)
     left, right = order[:-1], order[1:]
     for reach in [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]:
-        at = np.flatnonzero(alike)
-        if not len(at):
+        every = np.flatnonzero(alike)
+        if not len(every):
             break
-        alike[at] = words_at(text, left[at] + reach) == words_at(text, right[at] + reach)
-    return np.cumsum(np.concatenate([[0], ~alike])) if len(order) else order
+        for k in range(0, len(every), CHUNK):
+            at = every[k : k + CHUNK]
+            alike[at] = words_at(text, left[at] + reach) == words_at(text, right[at] + reach)
+    return np.cumsum(np.concatenate([[False], ~alike]), dtype="i4") if len(order) else order
 
 
 def repeated(parts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -127,19 +133,22 @@ def repeated(parts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: i
     sizes = np.array([len(p) for p in parts])
     begins = np.cumsum(sizes + 1) - (sizes + 1)
     order = suffix_array(text, depth)
-    part = np.searchsorted(begins, order, side="right") - 1
-    offset = order - begins[part]
-    inside = offset + length <= sizes[part]
-    order, part, offset = order[inside], part[inside], offset[inside]
+    owner = np.repeat(np.arange(len(parts), dtype="i4"), sizes + 1)  # of each byte
+    order = order[order + length <= (begins + sizes)[owner[order]]]
     number = classes(text, order, length)
+    again = number[1:] == number[:-1]
+    shared = np.concatenate([again, [False]]) | np.concatenate([[False], again]) if len(order) else np.zeros(0, bool)
+    order, number = order[shared], np.unique(number[shared], return_inverse=True)[1]
     if not len(order):
         return docs[:0], starts[:0], starts[:0]
+    part = owner[order]
     _, rank = np.unique(docs, return_inverse=True)
-    place = rank[part] * (1 << 40) + starts[part] + offset
+    place = (rank * (1 << 40) + starts - begins)[part] + order
     earliest = np.minimum.reduceat(place, np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])))
     late = place > earliest[number]
-    start = starts[part[late]] + offset[late]
-    return joined(docs[part[late]], start, start + length)
+    part, order = part[late], order[late]
+    start = (starts - begins)[part] + order
+    return joined(docs[part], start, start + length)
 
 
 # --- the operator -------------------------------------------------------------------------------------------------------
@@ -238,16 +247,23 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of asked regions: doc, text, asked (array of h, start, stop)."""
+    """The bytes of asked regions: doc, text, asked (array of h, start, stop). A long text gives many small batches."""
+    names, kinds = ["h", "doc", "start", "part"], (pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    rows: list[list] = [[], [], [], []]
     for batch, texts in blocks(batches):
-        rows = [[], [], [], []]
-        for doc, text, asked in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist()):
+        bounds, asked = batch.column(2).offsets.to_pylist(), batch.column(2).values
+        for doc, text, low, high in zip(batch.column(0).to_pylist(), texts, bounds, bounds[1:]):
             data = text.encode()
-            for r in asked:
-                if r["stop"] <= len(data):
-                    for column, v in zip(rows, (r["h"], doc, r["start"], data[r["start"] : r["stop"]])):
-                        column.append(v)
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))], names=["h", "doc", "start", "part"])
+            for at in range(low, high, ROWS):
+                h, start, stop = (asked.field(k)[at : min(at + ROWS, high)].to_numpy() for k in ("h", "start", "stop"))
+                there = stop <= len(data)
+                h, start, stop = h[there].tolist(), start[there].tolist(), stop[there].tolist()
+                for column, values in zip(rows, (h, [doc] * len(h), start, [data[x:y] for x, y in zip(start, stop)])):
+                    column += values
+                if len(rows[0]) >= ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
+                    rows = [[], [], [], []]
+    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
 
 
 def _sorted_blocks(length: int, block: int):  # noqa: ANN202
@@ -313,23 +329,34 @@ def with_spans(docs: DataFrame, length: int = LENGTH, **settings) -> DataFrame:
     return docs.join(spans, key == spans["doc"], "left").select(*[docs[c] for c in docs.columns], "_spans")
 
 
-def cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
+def cut_at(data: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, list[tuple[int, int]]]:
     """What is left of data, and the maximal runs that went."""
-    if not spans:
+    if not len(starts):
         return data, []
-    _, starts, stops = joined(np.zeros(len(spans), "i8"), np.array([s["start"] for s in spans]), np.array([s["stop"] for s in spans]))
+    _, starts, stops = joined(np.zeros(len(starts), "i8"), starts, stops)
     runs = [(a, min(b, len(data))) for a, b in zip(starts.tolist(), stops.tolist()) if a < len(data)]
     ends = [0, *(b for _, b in runs)]
     return b"".join(data[a:b] for a, b in zip(ends, [*(a for a, _ in runs), len(data)])), runs
 
 
+def cut(data: bytes, spans: list[dict] | None) -> tuple[bytes, list[tuple[int, int]]]:
+    """The same with spans as rows of start and stop."""
+    return cut_at(data, *(np.array([s[k] for s in spans or []], "i8") for k in ("start", "stop")))
+
+
+def _cuts(texts: list[str], spans: pa.ListArray) -> Iterator[tuple[bytes, bytes, list[tuple[int, int]]]]:
+    """Each text's bytes, what is left of them, and the runs that went. spans: the column of with_spans."""
+    bounds, values = spans.offsets.to_pylist(), spans.values
+    for text, low, high, null in zip(texts, bounds, bounds[1:], spans.is_null().to_pylist()):
+        data = text.encode()
+        yield data, *(cut_at(data, *(values.field(k)[low:high].to_numpy() for k in ("start", "stop"))) if not null else (data, []))
+
+
 def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches):
             rows = [[], [], [], []]
-            for text, spans in zip(texts, batch.column(2).to_pylist()):
-                data = text.encode()
-                kept, runs = cut(data, spans)
+            for data, kept, runs in _cuts(texts, batch.column(2)):
                 for column, v in zip(rows, (len(data), len(data) - len(kept), len(runs), hashlib.sha256(kept).hexdigest())):
                     column.append(v)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
@@ -341,8 +368,14 @@ def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def keep_unique(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with repeated passages cut from text; a run never splits a character (its broken bytes go too). Rows whose text is used up stay, empty."""
 
-    @F.pandas_udf("string")
-    def left(texts, spans):  # noqa: ANN001, ANN202
-        return texts.combine(spans, lambda t, s: t if t is None or s is None or not len(s) else cut(t.encode(), list(s))[0].decode("utf-8", "ignore"))
+    names = docs.columns
+    at = names.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches):
+            left = [kept.decode("utf-8", "ignore") for _, kept, _ in _cuts(texts, batch.column(len(names)))]
+            columns = batch.columns[:-1]
+            columns[at] = pa.array(left, columns[at].type, mask=columns[at].is_null().to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_spans(docs, length).withColumn("text", left("text", "_spans")).select(docs.columns)
+    return with_spans(docs, length).mapInArrow(run, docs.schema)
