@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from .common import held_out, map_blocks, read_table, release
 
 WORD = re.compile("[^ \u0009-\u000d]+")
-SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 120_000
+SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 100_000
 AGAIN = "\u0000again"
 THRESHOLD = 0.7
 
@@ -42,6 +42,14 @@ def features_of(word: str, buckets: int = BUCKETS, grams: tuple[int, int] = GRAM
     return out
 
 
+def feature_number(length: int, grams: tuple[int, int] = GRAMS) -> int:
+    """How many features a word of this length has."""
+    return 1 + sum(max(length + 3 - n, 0) for n in range(grams[0], grams[1] + 1))
+
+
+LENGTHS = [feature_number(n) for n in range(64)]
+
+
 def tokens_of(text: str) -> Counter:
     words = WORD.findall(text)
     out = Counter(words)
@@ -74,22 +82,25 @@ class Model:
 
     def __init__(self, logits: np.ndarray, bias: float):
         self.logits, self.bias = logits, bias
-        self.memo: dict[str, tuple[float, int]] = {}
+        self.fresh: dict[str, float] = {}  # words' logits, and those of the generation before
+        self.stale: dict[str, float] = {}
 
     def __getstate__(self) -> dict:
-        return {"logits": self.logits, "bias": self.bias, "memo": {}}
+        return {"logits": self.logits, "bias": self.bias, "fresh": {}, "stale": {}}
 
     def score(self, text: str) -> float:
-        total, n, memo = 0.0, 0, self.memo
+        total, n, fresh, stale, lengths = 0.0, 0, self.fresh, self.stale, LENGTHS
         for word, k in sorted(tokens_of(text).items()):  # one order of summation whatever the text's
-            known = memo.get(word)
+            known = fresh.get(word)
             if known is None:
-                f = features_of(word, len(self.logits))
-                known = memo[word] = (float(self.logits[f].sum()), len(f))
-            total += k * known[0]
-            n += k * known[1]
-        if len(memo) > MEMO:
-            memo.clear()
+                known = stale.get(word)
+                if known is None:
+                    known = float(self.logits[features_of(word, len(self.logits))].sum())
+                fresh[word] = known
+            total += k * known
+            n += k * (1 if word is AGAIN else lengths[len(word)] if len(word) < len(lengths) else feature_number(len(word)))
+        if len(fresh) > MEMO:  # words that come again stay, rare ones go
+            self.fresh, self.stale = {}, fresh
         return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -40, 40))))
 
 
