@@ -3,9 +3,10 @@
 A text is escaped (space to U+2581, a leading one added) and cut before every run of U+2581: no piece of the vocabulary has one
 behind another character, so merges never cross a cut and each chunk has an agenda of its own. The agenda takes
 the adjacent pair of best score, leftmost first. With dropout, a candidate (left offset, merged piece) is skipped when its
-keyed hash falls below the rate: hash(seed, variant, chunk, offset, piece). Each run of RUN chunks of a document draws its
-variant by hash(seed, doc_id, run) from `variants` many, so one word is cut in several ways, a rerun gives the same ids, and
-chunks that recur with a variant are encoded once per worker. Agendas of all new chunks of a block advance together in numpy.
+keyed hash falls below the rate: hash(key, offset, piece), with a key of its own for every occurrence, hash(seed, doc_id, number
+of the chunk in the document). So every occurrence of a word is cut anew, and a rerun gives the same ids. The merges that a chunk
+takes without dropout are remembered by each worker once two documents have it: an occurrence that skips none of them has the
+plain ids, every other one runs its agenda. Agendas of a block advance together in numpy.
 
 Characters without a piece become byte pieces. A literal U+2581 in a text becomes byte pieces too (the library would
 turn it into a space), so decode(encode(text)) == text for every text. Null text: empty, no ids. A null doc_id draws as 0. Repeated
@@ -16,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +29,11 @@ from .common import MEMOS, blocks, vocabulary
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
-DROPOUT, VARIANTS, SEED, MEMO, RUN = 0.1, 4, 7, 400_000, 128
-BATCH_CHUNKS, BLOCK = 20_000, 3_000_000
+DROPOUT, SEED, MEMO = 0.1, 7, 400_000
+BATCH_CHUNKS, BLOCK, OCCURRENCES = 20_000, 3_000_000, 200_000
+#: A longer chunk hardly keeps all of its merges: its agenda runs at once.
+LONG = 40
+GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,26 +108,42 @@ class PieceTable:
 
 
 def chunk_key(seed: int, variant: int, chunk: str) -> int:
+    """The key of a chunk that stands in no document."""
     return xxhash.xxh64_intdigest(chunk.encode(), seed * 1_000_003 + variant)
 
 
+def candidate(offset: np.ndarray, piece: np.ndarray) -> np.ndarray:
+    return mix(offset.astype("u8") << np.uint64(32) | piece.astype("u8"))
+
+
+def dropped(key: np.ndarray, candidates: np.ndarray, rate: float) -> np.ndarray:
+    return (mix(key + candidates) >> np.uint64(11)).astype("f8") < rate * 2.0**53
+
+
 def skips(key: np.ndarray, offset: np.ndarray, piece: np.ndarray, rate: float) -> np.ndarray:
     """Whether the candidate is dropped from the agenda."""
-    h = mix(key + mix(offset.astype("u8") << np.uint64(32) | piece.astype("u8")))
-    return (h >> np.uint64(11)).astype("f8") < rate * 2.0**53
+    return dropped(key, candidate(offset, piece), rate)
 
 
 class PieceEncoder:
-    def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS, memo: int = MEMO):
+    def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED, memo: int = MEMO):
         if not 0 <= rate <= 1:
             raise ValueError("the rate must be between 0 and 1")
         self.table = PieceTable(path)
-        self.rate, self.seed, self.variants, self.memo_size = rate, seed, variants if rate else 1, memo
-        self.memos: list[dict[str, bytes]] = [{} for _ in range(self.variants)]
-        self.shared: list[set[str]] = [set() for _ in range(self.variants)]
-
-    def agenda(self, chunks: list[str], keys: list[int]) -> list[bytes]:
-        """Runs the agendas of all chunks together; every round makes the best allowed merge of each chunk."""
+        self.rate, self.seed, self.memo_size = rate, seed, memo
+        self.variants = 4 if rate else 1  # keys to try on chunks outside documents; encode has no such number
+        self._forget()
+
+    def _forget(self) -> None:
+        """Empties the memo: numbers of chunks; by number the plain ids, where the plain merges begin, how many; and all merges."""
+        self.number: dict[str, int] = {}
+        self.plain: list[bytes] = []
+        self.once: set[str] = set()  # chunks met in one document so far: not learned yet
+        self.first, self.merges, self.path = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8")
+
+    def agenda(self, chunks: list[str], keys: list[int] | np.ndarray, rate: float | None = None, taken: list | None = None) -> list[bytes]:
+        """Runs the agendas of all chunks together; every round makes the best allowed merge of each chunk, and appends it to taken."""
+        rate = self.rate if rate is None else rate
         t = self.table
         count = np.array([len(c) or 1 for c in chunks])
         codes = np.frombuffer("".join(c or SPACE for c in chunks).encode("utf-32-le"), "<u4").astype("i4")
@@ -141,8 +162,8 @@ class PieceEncoder:
             flat = t.merge(s[:, :-1].ravel(), s[:, 1:].ravel())
             merged = flat.reshape(len(live), wide - 1)
             at = np.flatnonzero(flat >= 0)
-            if self.rate and at.size:
-                at = at[~skips(key[live[at // (wide - 1)]], o[:, :-1].ravel()[at], flat[at], self.rate)]
+            if rate and at.size:
+                at = at[~skips(key[live[at // (wide - 1)]], o[:, :-1].ravel()[at], flat[at], rate)]
             score = np.full(flat.shape, -np.inf, "f4")
             score[at] = t.scores[flat[at]]
             score = score.reshape(merged.shape)
@@ -153,6 +174,8 @@ class PieceEncoder:
             if not live.size:
                 break
             rows = np.arange(len(live))
+            if taken is not None:
+                taken.append((live, candidate(o[rows, best], merged[rows, best])))
             s[rows, best] = merged[rows, best]
             drop = np.ones(s.shape, bool)
             drop[rows, best + 1] = False
@@ -179,42 +202,88 @@ class PieceEncoder:
         first, *rest = (CHUNK.findall(x.replace(" ", SPACE)) for x in (" " + text).split(SPACE))
         return first + [c for chunks in rest for c in ["", *chunks]]
 
-    def draw(self, doc_id: int, n: int) -> list[int]:
-        """The variant of each run of a document."""
+    def keys(self, doc_id: int, n: int) -> np.ndarray:
+        """The key of each chunk of a document."""
         base = mix(np.array([(doc_id & 0xFFFFFFFFFFFFFFFF) ^ (self.seed << 20)], "u8"))
-        return (mix(base + np.arange(n, dtype="u8") * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(self.variants)).tolist()
+        return mix(base + np.arange(n, dtype="u8") * GOLDEN)
 
-    def _learn(self, variant: int, chunks: set[str]) -> None:
-        order, at = sorted(chunks, key=len), 0  # of like length together, so that a long one does not widen the others' rows
+    def _steps(self, order: list[str]) -> Iterator[slice]:
+        """Slices of chunks in order of length: of like length together, so that a long one does not widen the others' rows."""
+        at = 0
         while at < len(order):
             step = max(1, min(BATCH_CHUNKS, 2_000_000 // max(1, len(order[min(at + BATCH_CHUNKS, len(order)) - 1]))))
-            part = order[at : at + step]
-            self.memos[variant].update(zip(part, self.agenda(part, [chunk_key(self.seed, variant, c) for c in part])))
+            yield slice(at, at + step)
             at += step
 
+    def _learn(self, chunks: set[str]) -> None:
+        order, counts, paths = sorted(chunks, key=len), [self.merges], [self.path]
+        for part in self._steps(order):
+            taken: list[tuple[np.ndarray, np.ndarray]] = []
+            self.plain += self.agenda(order[part], np.zeros(len(order[part]), "u8"), 0.0, taken)
+            rows, merges = (np.concatenate(x) for x in zip(*taken)) if taken else (np.zeros(0, "i8"), np.zeros(0, "u8"))
+            counts.append(np.bincount(rows, minlength=len(order[part])))
+            paths.append(merges[np.argsort(rows, kind="stable")])
+        self.number.update(zip(order, range(len(self.number), len(self.number) + len(order))))
+        self.merges, self.path = np.concatenate(counts), np.concatenate(paths)
+        self.first = np.cumsum(self.merges) - self.merges
+
+    def _cut(self, chunks: list[str], keys: np.ndarray) -> list[bytes]:
+        """The ids of every occurrence: the plain ones where the memo has them and no merge is skipped."""
+        numbers = np.fromiter(map(self.number.get, chunks, repeat(-1)), "i8", len(chunks))
+        out = list(map(self.plain.__getitem__, numbers.tolist())) if self.plain else [b""] * len(chunks)  # -1: any, replaced below
+        known = np.flatnonzero(numbers >= 0)
+        changed = np.flatnonzero(numbers < 0)
+        if self.rate and len(known):
+            merges = self.merges[numbers[known]]
+            ends = np.cumsum(merges)
+            at = np.repeat(self.first[numbers[known]] - (ends - merges), merges) + np.arange(ends[-1])
+            lost = np.flatnonzero(dropped(np.repeat(keys[known], merges), self.path[at], self.rate))
+            changed = np.concatenate([changed, known[np.unique(np.searchsorted(ends, lost, side="right"))]])
+        if len(changed):
+            self._run([chunks[i] for i in changed.tolist()], keys[changed], changed.tolist(), out)
+        return out
+
+    def _run(self, chunks: list[str], keys: np.ndarray, places: list[int], out: list[bytes]) -> None:
+        """Puts what the agendas of chunks give into their places of out."""
+        order = np.argsort(np.fromiter(map(len, chunks), "i8", len(chunks)), kind="stable")
+        chunks, keys, places = [chunks[i] for i in order.tolist()], keys[order], [places[i] for i in order.tolist()]
+        for part in self._steps(chunks):
+            for i, ids in zip(places[part], self.agenda(chunks[part], keys[part])):
+                out[i] = ids
+
     def encode(self, doc_ids: list[int | None], texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit bytes."""
-        cuts: list[list[tuple[int, list[str]]]] = []
-        for doc_id, text in zip(doc_ids, texts):
-            chunks = self.escape(text)
-            runs = range(0, len(chunks), RUN)
-            cuts.append(list(zip(self.draw(doc_id or 0, len(runs)), (chunks[i : i + RUN] for i in runs))))
-        new: list[set[str]] = [set() for _ in self.memos]
-        for runs in cuts:
-            for v, chunks in runs:
-                fresh = set(chunks).difference(self.memos[v])
-                self.shared[v] |= fresh & new[v]
-                new[v] |= fresh
-        if sum(map(len, self.memos)) + sum(map(len, new)) > self.memo_size:
-            for v, (memo, shared) in enumerate(zip(self.memos, self.shared)):
-                if len(shared) > self.memo_size // (2 * self.variants):
-                    shared.clear()
-                self.memos[v] = {c: memo[c] for c in shared & memo.keys()}
-                new[v] = set().union(*(chunks for runs in cuts for w, chunks in runs if w == v)).difference(self.memos[v])
-        for v, chunks in enumerate(new):
-            self._learn(v, chunks)
-        found = [memo.__getitem__ for memo in self.memos]
-        return [b"".join([i for v, chunks in runs for i in map(found[v], chunks)]) for runs in cuts]
+        cuts = [self.escape(text) for text in texts]
+        fresh: set[str] = set()
+        again: set[str] = set()
+        for chunks in map(set, cuts):
+            chunks = chunks.difference(self.number)
+            again |= chunks & fresh
+            fresh |= chunks
+        again |= fresh & self.once
+        if len(self.number) + len(again) > self.memo_size:
+            self._forget()
+        if len(self.once) + len(fresh) > self.memo_size:
+            self.once.clear()
+        self.once |= fresh - again
+        self._learn({c for c in again if len(c) <= LONG})
+        found, at = [], 0
+        while at < len(cuts):  # documents together, up to a number of chunks
+            end, n = at + 1, len(cuts[at])
+            while end < len(cuts) and n + len(cuts[end]) <= OCCURRENCES:
+                n += len(cuts[end])
+                end += 1
+            chunks = list(chain.from_iterable(cuts[at:end]))
+            keys = np.concatenate([self.keys(d or 0, len(c)) for d, c in zip(doc_ids[at:end], cuts[at:end])])
+            ids: list[bytes] = []
+            for k in range(0, n, OCCURRENCES):
+                ids += self._cut(chunks[k : k + OCCURRENCES], keys[k : k + OCCURRENCES])
+            k = 0
+            for own in cuts[at:end]:
+                found.append(b"".join(ids[k : k + len(own)]))
+                k += len(own)
+            at = end
+        return found
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces joined, byte pieces as UTF-8, U+2581 as a space, the leading one removed."""
@@ -230,21 +299,19 @@ _encoders: dict[tuple, PieceEncoder] = {}
 MEMOS["pieces"] = _encoders.clear
 
 
-def encoder(path: str, rate: float, seed: int, variants: int) -> PieceEncoder:
-    key = path, rate, seed, variants
+def encoder(path: str, rate: float, seed: int) -> PieceEncoder:
+    key = path, rate, seed
     if key not in _encoders:
         _encoders[key] = PieceEncoder(*key)
     return _encoders[key]
 
 
-def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> DataFrame:
+def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, ids (little-endian u4 bytes), n_ids of every document."""
-    if variants < 1:
-        raise ValueError("at least one variant is needed")
     path = path or vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, rate, seed, variants)
+        own = encoder(path, rate, seed)
         for batch, texts in blocks(batches, limit=BLOCK, memo="pieces"):
             ids = own.encode(batch.column(0).to_pylist(), texts)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n_ids"])
@@ -257,7 +324,7 @@ def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
     path = path or vocabulary("piece_bpe_32k.model")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path, 0.0, 0, 1)
+        own = encoder(path, 0.0, 0)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
