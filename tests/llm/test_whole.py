@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tidewright.llm import pieces
+from tidewright.llm import pieces, suffixes
 from tidewright.llm.common import vocabulary
 
 
@@ -21,3 +21,16 @@ def test_every_occurrence_is_cut_anew():
     assert len(plain.encode([0], ["a"])[0]) == 4
     pairs = len(encoder.encode([3], [" ".join(["a"] * 20_000)])[0]) // 4 - 20_000
     assert abs(pairs / 20_000 - encoder.rate) < 0.01
+
+
+def test_repeated_row_of_one_block_keeps_its_text(spark):
+    text = " ".join(str(k * 7919) for k in range(60))
+    rows = [(5, text), (5, text), (7, text + " and " + text)]
+    for parts in (1, 3):  # in one block and in several: the same
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        found = [(r["doc_id"], suffixes.cut(r["text"].encode(), r["_spans"])) for r in suffixes.with_spans(docs).collect()]
+        for doc_id, (kept, runs) in found:
+            if doc_id == 5:
+                assert kept.decode() == text and not runs
+            else:
+                assert runs and len(kept) < len(text)

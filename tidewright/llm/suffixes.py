@@ -179,8 +179,10 @@ def _regions(length: int):  # noqa: ANN202
         order = np.lexsort((start, doc, whole, h))
         h, whole, doc, start, size = (x[order] for x in (h, whole, doc, start, size))
         again = np.concatenate([[False], (h[1:] == h[:-1]) & (whole[1:] == whole[:-1])])
-        d, a, b = joined(doc[again], start[again], start[again] + size[again])
         keep = ~again
+        lead = np.maximum.accumulate(np.where(keep, np.arange(len(h)), 0))
+        again &= (doc != doc[lead]) | (start != start[lead])  # repeated rows of one document at one place are no earlier start
+        d, a, b = joined(doc[again], start[again], start[again] + size[again])
         yield _batch("kind h whole doc start size", np.zeros(keep.sum(), "i1"), h[keep].view("i8"), whole[keep].view("i8"), doc[keep], start[keep], size[keep])
         yield _batch("kind h whole doc start size", np.ones(len(d), "i1"), mix(d.view("u8")).view("i8"), np.zeros(len(d), "i8"), d, a, b - a)
 
