@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from tidewright.llm import pieces, suffixes
+from tidewright.llm import pieces, suffixes, toxicity
 from tidewright.llm.common import vocabulary
 
 
@@ -34,3 +34,14 @@ def test_repeated_row_of_one_block_keeps_its_text(spark):
                 assert kept.decode() == text and not runs
             else:
                 assert runs and len(kept) < len(text)
+
+
+def test_obfuscations_meet_the_decoder():
+    model = toxicity.smooth(toxicity.sequences(["what an idiot and a moron, stupid people, such shit, it is in the book of a good man"] * 50).astype("f8"))
+    channel = toxicity.Channel(model)
+    for written, word in (("5h17", "shit"), ("1d107", "idiot"), ("stuupid", "stupid"), ("1d10t", "idiot")):
+        assert word in channel.token(written), written
+    for text in ("so s  t  u  p  i  d here", "s\tt\tu\tp\ti\td", "you\ns\nt\nu\np\ni\nd\nyou", "that stu pid people", "such s h i t here"):
+        assert {"stupid", "shit"} & channel.words(text), text
+    assert {"book", "good", "man"} <= channel.words("it is in the book of a good man")
+    assert channel.token("...") == ()

@@ -1,8 +1,10 @@
 """Toxicity: noisy-channel deobfuscation, then scoring of the restored text.
 
 Every token that can be read in more than one way is a lattice: look-alike signs stand for letters, separators between
-characters may be dropped, a letter written three times or more may be written once or twice. Viterbi decoding under a character language
-model takes the likeliest reading. Tokens with one reading (plain words) pass through, which is what decoding would give.
+characters may be dropped, a letter written twice may be written once, one written three times or more once or twice. Runs of short
+pieces (at most SHORT characters each) over any white space are lattices too, whose white space may be dropped. Viterbi decoding under a
+character language model takes the likeliest reading, over all contexts; the plain reading is one of them. Tokens with one reading pass
+through, which is what decoding would give. Words as written stay readable beside those restored.
 The model counts four-character sequences over the whole corpus, so its statistics grow with the input while its table has
 a fixed size (32^4). A restored word's evidence is the greatest log odds of those of it and its beginnings that are significantly
 more frequent in toxic documents; a logistic curve turns a document's summed evidence into a probability.
@@ -33,11 +35,12 @@ SAMPLE, FEATURES, SIGNIFICANT, THRESHOLD, MEMO = 6000, 4000, 22.0, 0.3, 300_000
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l"}
 SEPARATORS = frozenset(" .-_*~'`,·•/\\")
 EDGE = ".,;:!?\"()[]{}<>|*$%&#=/\\~_-+'`«»¿¡…·•@^"
-#: Log-probabilities of the channel: a sign for a letter, a separator put in, a letter repeated; and of leaving a sign as it is.
-SIGN, DROP, REPEAT, ASIS = -1.0, -1.2, -0.4, -6.0
+#: Log-probabilities of the channel: a sign for a letter, a separator put in, a letter repeated; of leaving a sign as it is; and of a letter written twice for once.
+SIGN, DROP, REPEAT, ASIS, DOUBLE = -1.0, -1.2, -0.4, -6.0, -2.0
 WORD = re.compile("[^ \u0009-\u000d]+")
-TRIPLE = re.compile(r"([^\W\d_])\1\1")
-SPACED = re.compile(r"(?<![^\s])(?:[^\s][ .\-_*]){3,}[^\s](?![^\s])")
+TWICE = re.compile(r"([^\W\d_])\1")
+SHORT = 3
+RUN = re.compile(r"(?<!\S)\S{1,%d}(?:\s+\S{1,%d})+(?!\S)" % (SHORT, SHORT))
 ORDER, SYMBOLS = 4, 32
 
 
@@ -128,6 +131,8 @@ class Channel:
                     options.append(("", REPEAT))
                 elif long_run:
                     options = [(c, REPEAT)]
+                elif run == 2:
+                    options.append(("", DOUBLE))
             else:
                 options = [(" ", 0.0)]
             out.append(options)
@@ -151,7 +156,7 @@ class Channel:
                             to, value, written = (state * SYMBOLS + s) % space, score + cost + float(self.model[state, s]), text + c
                     if to not in after or (value, written) > after[to]:
                         after[to] = value, written
-            states = dict(sorted(after.items(), key=lambda x: -x[1][0])[:64]) if len(after) > 64 else after
+            states = after  # at most 32^3
         return max(states.values())[1].strip()
 
     def token(self, token: str) -> tuple[str, ...]:
@@ -166,27 +171,31 @@ class Channel:
         end = token[at + len(token.strip(EDGE)) :] if core else ""
         if core and end and end[0] in "@$" and end[:3] not in ("$$$", "@@@"):
             core += end[: 2 if end[:2] == end[0] * 2 else 1]
-        if core.isalpha() and not TRIPLE.search(core):
+        if core.isalpha() and not TWICE.search(core):
             words: tuple[str, ...] = (core,)
-        elif sum(map(str.isalpha, core)) < 2 or sum(map(str.isalnum, core)) < 3:
-            words = ()
+        elif not any(c.isalpha() or c in LOOKALIKE for c in core):
+            words = ()  # no letter in any reading
         else:
             words = tuple(w for w in self.decode(core).split() if len(w) > 1)
             words += tuple(w for w in re.split(r"[\W\d_]+", core) if len(w) > 2 and w not in words)  # plain readings stay readable
         self.memo[token] = words
         return words
 
+    def run(self, run: str) -> tuple[str, ...]:
+        """The words of a run of short pieces."""
+        known = self.memo.get(run)
+        if known is None:
+            known = self.memo[run] = tuple(w for w in self.decode(run).split() if len(w) > 1)
+        return known
+
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
         text = text.lower()
         out: set[str] = set()
-        tokens = WORD.findall(text)
-        singles = sum(1 for t in tokens if len(t) == 1)
-        for token in set(tokens):
+        for token in set(WORD.findall(text)):
             out.update(self.token(token))
-        if singles >= 4:
-            for found in SPACED.finditer(text):
-                out.update(w for w in self.decode(found.group()).split() if len(w) > 1)
+        for run in {" ".join(found.split()) for found in RUN.findall(text)}:
+            out.update(self.run(run))
         if len(self.memo) > MEMO:
             self.memo.clear()
         return out
