@@ -25,8 +25,12 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below spark.checkpoint.dir; only where that is unset (tests, local mode) below the warehouse."""
-    root = spark.conf.get("spark.checkpoint.dir", "") or f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
+    """A new folder below spark.checkpoint.dir. Only local mode does without that setting (tests), below the warehouse."""
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir')}/_shared"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -38,6 +42,12 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(columns: list[str], stem: str) -> str:
+    """A column name that no column has, in any case."""
+    taken = {c.lower() for c in columns}
+    return next(name for name in (stem + "_" * k for k in range(len(taken) + 1)) if name.lower() not in taken)
+
+
 #: What clears a module's worker-wide memo, by the memo's name.
 MEMOS: dict[str, Callable[[], None]] = {}
 
