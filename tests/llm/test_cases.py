@@ -143,19 +143,51 @@ def test_suffix_array_and_small_groups(spark):
         assert sorted(order.tolist()) == list(range(len(body)))
         keys = [body[i : i + n] for i in order]
         assert keys == sorted(keys)
-    # passages shared by many, with the group limit at 3 (windows counted) and far away (suffix arrays): the same removals
-    passage = "".join(rng.choice("abcdefgh ") for _ in range(150))
-    rows = [(k, "".join(rng.choice("ijklmnop ") for _ in range(rng.randint(0, 90))) + passage[rng.randint(0, 20) :] + str(k) * 40) for k in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string")
-    from .test_contracts import brute_removal
-
-    expected = brute_removal([(d, t) for d, t in rows])
-    for limit in (3, 10_000):
-        spans = suffixes.removed_spans(docs, group=limit).collect()
-        for d, t in rows:
-            own = [{"start": s["start"], "stop": s["stop"]} for s in spans if s["doc"] == d]
-            kept, runs = suffixes.cut(t.encode(), own)
-            assert (len(t.encode()) - len(kept), len(runs)) == expected[d][1:3]
+
+
+def by_key(docs, **settings):
+    """What is left of each row: (doc_id, text) to (kept bytes, runs)."""
+    return {(r["doc_id"], r["text"]): suffixes.cut(r["text"].encode(), r["_spans"]) for r in suffixes.with_spans(docs, **settings).where("text is not null").collect()}
+
+
+def brute_rows(spark, rows, length=100):
+    """Distinct (doc_id, text) in order of id (null first) and text hash; each window that came before goes."""
+    frame = spark.createDataFrame(rows, "doc_id long, text string").where("text is not null").distinct().withColumn("th", F.xxhash64("text", F.col("doc_id").isNull()))
+    seen, out = set(), {}
+    for r in sorted(frame.collect(), key=lambda r: (-(1 << 63) if r["doc_id"] is None else r["doc_id"], r["th"])):
+        data = r["text"].encode()
+        gone = np.zeros(len(data), bool)
+        for i in range(len(data) - length + 1):
+            if data[i : i + length] in seen:
+                gone[i : i + length] = True
+            seen.add(data[i : i + length])
+        out[r["doc_id"], r["text"]] = np.frombuffer(data, "u1")[~gone].tobytes()
+    return out
+
+
+def test_large_groups_and_odd_ids_equal_brute_force(spark):
+    """A hot passage of many distinct contents, split at several limits; repeated, negative and null ids with different texts; bytes above 127."""
+    rng = random.Random(2)
+    passage = "".join(rng.choice("abcdefgh éß") for _ in range(260))
+    rows = [(k - 20, "".join(rng.choice("ijklmnop ") for _ in range(rng.randint(0, 90))) + passage[rng.randint(0, 20) :] + str(k) * 40) for k in range(60)]
+    alone = "".join(rng.choice("qrstuvw ") for _ in range(600))
+    rows += [(1, passage), (5, "x" + passage + "y"), (5, alone), (5, alone), (None, passage + alone[:50]), (None, "other " + passage), (None, alone), (-(1 << 63), passage), (70, None), (71, ""), (72, alone + alone)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    expected = brute_rows(spark, rows)
+    for limit in (1, 3, 10_000):
+        got = by_key(docs, group=limit)
+        assert {k: v[0] for k, v in got.items()} == expected
+    assert expected[5, "x" + passage + "y"] != b"" and sum(map(len, expected.values())) < sum(len(t or "") for _, t in rows)
+    short = spark.createDataFrame([(1, "abcdefghij" * 3), (2, "xabcdefghijabc")], "doc_id long, text string")
+    assert {k: v[0] for k, v in by_key(short, length=12).items()} == brute_rows(spark, [tuple(r) for r in short.collect()], 12)
+
+
+def test_unrelated_texts_of_one_id_stay(spark):
+    p, n = (" ".join(str(k * f) for k in range(100, 220)) for f in (7919, 104_729))
+    for d in (5, None):
+        docs = spark.createDataFrame([(-3, p), (d, "a " + p), (d, n)], "doc_id long, text string")
+        got = by_key(docs)
+        assert got[d, n] == (n.encode(), [])
 
 
 def test_segments_of_long_texts(spark):

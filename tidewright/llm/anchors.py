@@ -7,6 +7,7 @@ same one, so windows can only match under one k-gram hash. Consecutive windows w
 from __future__ import annotations
 
 import numpy as np
+import xxhash
 
 LENGTH, GRAM, SEGMENT = 100, 28, 1 << 18
 BASE = 0x9E3779B97F4A7C15
@@ -38,14 +39,13 @@ def powers() -> Powers:
 
 
 def regions(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, ...]:
-    """Regions of joined texts: (k-gram hash, region hash, first window, bytes). data: bytes; ends: where each text ends.
+    """Regions of joined texts: (k-gram hash, first window, bytes). data: bytes; ends: where each text ends.
 
-    At most SEGMENT + 4096 bytes; a region covers data[first : first + bytes].
+    At most SEGMENT + 4096 bytes; a region covers data[first : first + bytes]. With a gram of the whole length every window is one.
     """
     n, p = len(data), powers()
-    none = np.zeros(0, "u8")
     if n < length:
-        return none, none, none.astype("i8"), none.astype("i8")
+        return np.zeros(0, "u8"), np.zeros(0, "i8"), np.zeros(0, "i8")
     prefix = np.zeros(n + 1, "u8")
     np.cumsum(p.byte[data] * p.up[:n], out=prefix[1:])
     h = mix((prefix[gram:] - prefix[:-gram]) * p.down[: n - gram + 1])
@@ -67,20 +67,33 @@ def regions(data: np.ndarray, ends: np.ndarray, length: int = LENGTH, gram: int
     first = np.flatnonzero(new & valid)
     runs = np.cumsum(new)[valid]
     last = start[valid][np.concatenate([runs[1:] != runs[:-1], [True]])] if len(runs) else first
-    size = last - first + length
-    whole = mix((prefix[first + size] - prefix[first]) * p.down[first] + size.astype("u8") * np.uint64(0x9FB21C651E98DF25))
-    return h[pick[first]], whole, first, size
+    return h[pick[first]], first, last - first + length
 
 
-def joined(parts: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Union of intervals sorted by (part, start): parts, starts, stops of the maximal ones."""
+def contents(data: bytes, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 128-bit hash of each region's bytes, as two signed numbers."""
+    digests = [xxhash.xxh3_128_digest(data[a:b]) for a, b in zip(first.tolist(), (first + size).tolist())]
+    pairs = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+    return pairs[:, 0], pairs[:, 1]
+
+
+def changes(*keys: np.ndarray) -> np.ndarray:
+    """Where any of the keys differs from the row before; the first row does."""
+    new = np.ones(len(keys[0]), bool)
+    if len(new):
+        new[1:] = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+    return new
+
+
+def joined(keys: tuple[np.ndarray, ...], starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Union of the intervals of each key: (*keys, starts, stops) of the maximal ones, in order."""
     if not len(starts):
-        return parts, starts, stops
-    order = np.lexsort((starts, parts))
-    parts, starts, stops = parts[order], starts[order], stops[order]
-    number = np.cumsum(np.concatenate([[0], parts[1:] != parts[:-1]]))
+        return *keys, starts, stops
+    order = np.lexsort((starts, *reversed(keys)))
+    keys, starts, stops = tuple(k[order] for k in keys), starts[order], stops[order]
+    number = np.cumsum(changes(*keys)) - 1 if keys else np.zeros(len(starts), "i8")
     far = int(stops.max()) + 1
     reach = np.maximum.accumulate(stops + number * far)
     new = np.concatenate([[True], (number[1:] != number[:-1]) | (starts[1:] + number[1:] * far > reach[:-1])])
     at = np.flatnonzero(new)
-    return parts[at], starts[at], reach[np.concatenate([at[1:] - 1, [len(starts) - 1]])] - number[at] * far
+    return *(k[at] for k in keys), starts[at], reach[np.concatenate([at[1:] - 1, [len(starts) - 1]])] - number[at] * far

@@ -120,8 +120,8 @@ def judge(counts: DataFrame, keep: float = KEEP, rules: tuple = RULES) -> DataFr
     """Adds base_failed, quality_probability and kept to base counts. counts is read twice: pass a written table."""
     names = [f"v{j}" for j in range(len(rules))]
     votes = [vote(g, b).alias(v) for v, (_, g, b) in zip(names, rules)]
-    patterns = counts.where(f"not ({BASE_FAILED})").select(*votes).groupBy(*names).count().collect()  # at most 3^rules rows
-    share, on_good, on_bad = estimate([(tuple(r[:-1]), r[-1]) for r in patterns], len(rules))
+    patterns = counts.select(F.expr(BASE_FAILED).alias("failed"), *votes).groupBy("failed", *names).count().collect()  # at most 2 * 3^rules rows
+    share, on_good, on_bad = estimate([(tuple(r[1:-1]), r[-1]) for r in patterns if not r["failed"]], len(rules))
     odds = F.lit(math.log(share / (1 - share)))
     for (_, good, bad), a, b in zip(rules, on_good, on_bad):
         up, down = weights(a, b)

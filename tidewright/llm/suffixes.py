@@ -4,17 +4,19 @@ A byte goes if a `LENGTH`-byte string that covers it also starts earlier: in a s
 
 1. Anchors (see anchors.py) split every text into regions; equal windows lie in regions of one k-gram hash.
    A block first settles its own equal regions, so a hot passage leaves a block once.
-2. One shuffle by k-gram hash. Of equal regions all but the earliest are removed whole; regions of one hash with different
-   bytes are asked for as text, one per distinct content.
-3. The asked regions meet by hash again. A suffix array is built over blocks of whole groups by two-stage sorting: only suffixes smaller
+2. Equal regions meet by k-gram hash and a 128-bit hash of their bytes: all but the earliest go whole, as each of their windows starts
+   earlier there. Of k-gram hashes with several contents, one region of each content is asked for as text.
+3. The asked regions meet by k-gram hash. A suffix array is built over blocks of whole groups by two-stage sorting: only suffixes smaller
    than their successors are sorted directly, the others are induced by scanning the buckets; common prefixes of adjacent
    suffixes give the classes of equal windows, and in each class all but the earliest are removed.
-   A group above GROUP regions is too large for one task: its windows are counted by hash in a partial aggregate instead.
+   A group of more than GROUP contents is first split: its regions are cut anew by longer k-grams (GRAMS), so that its parts share more
+   bytes; equal parts are settled by their bytes, the rest goes to suffix arrays as before.
 4. Spans are collected per document and cut out.
 
-Null text: empty. A null doc_id comes before all others. Rows that share a doc_id are one document's copies: each gets
-the removals of all of them, as far as its text reaches. Texts below LENGTH bytes lose nothing. An empty table gives no rows; other
-columns are ignored (keep_unique keeps them).
+Null text: empty. A null doc_id comes before all others. Rows that share a doc_id and the text are one document's copies and
+keep or lose the same bytes; rows that share a doc_id (or have none) with different texts are different documents, in the order of a hash
+of their texts. Texts below LENGTH bytes lose nothing. An empty table gives no rows; other columns are ignored (keep_unique keeps them,
+whatever their names).
 """
 
 from __future__ import annotations
@@ -24,17 +26,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .anchors import LENGTH, SEGMENT, joined, mix, regions
-from .common import blocks, materialize
+from .anchors import GRAM, LENGTH, SEGMENT, changes, contents, joined, regions
+from .common import blocks, fresh, materialize, read_table
 
 SEPARATOR = 0xFF  # in no UTF-8 text
-GROUP, BLOCK_BYTES, NULL_ID = 20_000, 2_000_000, -(1 << 63)
+GROUP, BLOCK_BYTES, NULL_ID = 2_000, 2_000_000, -(1 << 63)
+GRAMS = (64, 92, LENGTH)  # the last makes every window a region of its own: such a group has one content
 CHUNK, ROWS = 1 << 18, 8192  # positions read at once; rows of a batch of region texts
-SPANS = "doc long, start long, stop long"
+SPANS = "doc long, th long, start long, stop long"
+MET = "kind byte, h long, w1 long, w2 long, doc long, th long, start long, size long"
+PARTS = "h long, doc long, th long, start long, part binary"
 
 
 # --- the suffix array -------------------------------------------------------------------------------------------------
@@ -126,8 +130,8 @@ def classes(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
     return np.cumsum(np.concatenate([[False], ~alike]), dtype="i4") if len(order) else order
 
 
-def repeated(parts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Spans (doc, start, stop) of windows of the parts that start earlier in another place. docs, starts: where each part begins."""
+def repeated(parts: list[bytes], docs: np.ndarray, texts: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Spans (doc, th, start, stop) of windows of the parts that start earlier in another place. docs, texts, starts: where each part begins."""
     depth = max(map(len, parts)) + 1
     text = np.frombuffer(bytes([SEPARATOR]).join([*parts, b"\xff" * (depth + 8)]), "u1")
     sizes = np.array([len(p) for p in parts])
@@ -140,15 +144,17 @@ def repeated(parts: list[bytes], docs: np.ndarray, starts: np.ndarray, length: i
     shared = np.concatenate([again, [False]]) | np.concatenate([[False], again]) if len(order) else np.zeros(0, bool)
     order, number = order[shared], np.unique(number[shared], return_inverse=True)[1]
     if not len(order):
-        return docs[:0], starts[:0], starts[:0]
+        return docs[:0], texts[:0], starts[:0], starts[:0]
     part = owner[order]
-    _, rank = np.unique(docs, return_inverse=True)
+    by_document = np.lexsort((texts, docs))
+    rank = np.empty(len(parts), "i8")
+    rank[by_document] = np.cumsum(changes(docs[by_document], texts[by_document]))
     place = (rank * (1 << 40) + starts - begins)[part] + order
-    earliest = np.minimum.reduceat(place, np.flatnonzero(np.concatenate([[True], number[1:] != number[:-1]])))
+    earliest = np.minimum.reduceat(place, np.flatnonzero(changes(number)))
     late = place > earliest[number]
     part, order = part[late], order[late]
     start = (starts - begins)[part] + order
-    return joined(docs[part], start, start + length)
+    return joined((docs[part], texts[part]), start, start + length)
 
 
 # --- the operator -------------------------------------------------------------------------------------------------------
@@ -158,125 +164,117 @@ def _batch(names: str, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names.split())
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc"), F.col("text").alias("text"))
+def _key(docs: DataFrame) -> list[Column]:
+    """What a document is known by: its id, and a hash of its text."""
+    return [F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID)).alias("doc"), F.xxhash64(docs["text"], docs["doc_id"].isNull()).alias("th")]
 
 
-def _segments(doc: int, text: str, length: int) -> Iterator[tuple[int, int, bytes]]:
+def _segments(text: str, length: int) -> Iterator[tuple[int, bytes]]:
     """A text's bytes in segments that overlap by length - 1: every window lies in one."""
     data = text.encode()
     for at in range(0, max(len(data) - length + 1, 1), SEGMENT):
-        yield doc, at, data[at : at + SEGMENT + length - 1]
+        yield at, data[at : at + SEGMENT + length - 1]
+
+
+def _pieces(rows: Iterator[tuple], length: int, gram: int) -> Iterator[tuple]:
+    """Regions of rows (doc, th, start, bytes), many rows at a time: h, w1, w2, doc, th, start, size, and (data, first) to take bytes from."""
+    held: list[tuple] = []
+    size = 0
+
+    def cut() -> tuple:
+        data = b"".join(r[3] for r in held)
+        ends = np.cumsum([len(r[3]) for r in held])
+        h, first, n = regions(np.frombuffer(data, "u1"), ends, length, gram)
+        w1, w2 = contents(data, first, n)
+        own = np.searchsorted(ends, first, side="right")
+        doc, th, start = (np.array([r[k] for r in held], "i8")[own] for k in range(3))
+        return h.view("i8"), w1, w2, doc, th, start + first - np.concatenate([[0], ends[:-1]])[own], n, (data, first)
+
+    for row in rows:
+        if held and size + len(row[3]) > SEGMENT:
+            yield cut()
+            held, size = [], 0
+        held.append(row)
+        size += len(row[3])
+    if held:
+        yield cut()
+
+
+def _order(h: np.ndarray, w1: np.ndarray, w2: np.ndarray, doc: np.ndarray, th: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Order by content and place; along it, which rows are the first of their content, and which lie at a later place than it."""
+    order = np.lexsort((start, th, doc, w2, w1, h))
+    lead = changes(h[order], w1[order], w2[order])
+    at = np.maximum.accumulate(np.where(lead, np.arange(len(order)), 0))
+    # repeated rows of one document at one place are no earlier start
+    late = np.any([x[order] != x[order][at] for x in (doc, th, start)], axis=0) if len(order) else lead
+    return order, lead, late
 
 
 def _regions(length: int):  # noqa: ANN202
-    """Regions of all texts (kind 0), and spans already settled inside a block (kind 1, dealt by document)."""
-
-    def settle(held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        h, whole, doc, start, size = (np.concatenate(c) for c in zip(*held))
-        if not len(h):
-            return
-        order = np.lexsort((start, doc, whole, h))
-        h, whole, doc, start, size = (x[order] for x in (h, whole, doc, start, size))
-        again = np.concatenate([[False], (h[1:] == h[:-1]) & (whole[1:] == whole[:-1])])
-        keep = ~again
-        lead = np.maximum.accumulate(np.where(keep, np.arange(len(h)), 0))
-        again &= (doc != doc[lead]) | (start != start[lead])  # repeated rows of one document at one place are no earlier start
-        d, a, b = joined(doc[again], start[again], start[again] + size[again])
-        yield _batch("kind h whole doc start size", np.zeros(keep.sum(), "i1"), h[keep].view("i8"), whole[keep].view("i8"), doc[keep], start[keep], size[keep])
-        yield _batch("kind h whole doc start size", np.ones(len(d), "i1"), mix(d.view("u8")).view("i8"), np.zeros(len(d), "i8"), d, a, b - a)
+    """Regions of all texts (kind 0), and spans already settled inside a block (kind 1, dealt by their own numbers)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, limit=4_000_000):
-            held, parts, size = [], [], 0
-
-            def flush() -> None:
-                nonlocal parts, size
-                if parts:
-                    ends = np.cumsum([len(p) for *_, p in parts])
-                    h, whole, first, n = regions(np.frombuffer(b"".join(p for *_, p in parts), "u1"), ends, length)
-                    own = np.searchsorted(ends, first, side="right")
-                    begins = np.concatenate([[0], ends[:-1]])
-                    held.append((h, whole, np.array([d for d, *_ in parts], "i8")[own], first - begins[own] + np.array([a for _, a, _ in parts], "i8")[own], n))
-                    parts, size = [], 0
-
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
-                for part in _segments(doc, text, length):
-                    if size + len(part[2]) > SEGMENT:
-                        flush()
-                    parts.append(part)
-                    size += len(part[2])
-            flush()
-            if held:
-                yield from settle(held)
+            ids, hashes = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            rows = ((d, t, at, part) for d, t, text in zip(ids, hashes, texts) for at, part in _segments(text, length))
+            found = [x[:7] for x in _pieces(rows, length, min(GRAM, length))]
+            h, w1, w2, doc, th, start, size = (np.concatenate(c) for c in zip(*found))
+            order, lead, late = _order(h, w1, w2, doc, th, start)
+            keep, gone = order[lead], order[late]
+            yield _batch("kind h w1 w2 doc th start size", np.zeros(len(keep), "i1"), *(x[keep] for x in (h, w1, w2, doc, th, start, size)))
+            d, t, a, b = joined((doc[gone], th[gone]), start[gone], start[gone] + size[gone])
+            yield _batch("kind h w1 w2 doc th start size", np.ones(len(d), "i1"), a, d, t, d, t, a, b - a)
 
     return run
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by h, whole, doc, start. Gives spans (ask false) and asked regions (ask true). Holds one batch and two rows."""
-    tail: dict | None = None  # the last row before this batch, and the first region of its h while that has one content only
+    """Rows sorted by content and place. Gives spans (kind 1) and the first region of each content (kind 0). Holds one batch and one row."""
+    tail: tuple = ()  # the first row of the content that the last batch ended with
     for batch in batches:
-        kind, h, whole, doc, start, size = (batch.column(i).to_numpy() for i in range(6))
-        n = len(h)
-        if not n:
+        kind, h, w1, w2, doc, th, start, size = (batch.column(i).to_numpy() for i in range(8))
+        if not len(h):
             continue
-        same_h = np.concatenate([[tail is not None and tail["kind"] == 0 and kind[0] == 0 and h[0] == tail["h"]], (h[1:] == h[:-1]) & (kind[1:] == kind[:-1]) & (kind[1:] == 0)])
-        same = same_h & np.concatenate([[tail is not None and whole[0] == tail["whole"]], whole[1:] == whole[:-1]])
-        # repeated rows of one document at one place are no earlier start
-        lead = np.maximum.accumulate(np.where(same, -1, np.arange(n)))
-        lead_doc, lead_start = (np.where(lead >= 0, x[np.maximum(lead, 0)], tail[k] if tail else 0) for x, k in ((doc, "lead_doc"), (start, "lead_start")))
-        gone = same & ~((doc == lead_doc) & (start == lead_start))
-        settled = kind == 1
-        out = gone | settled
-        d, a, b = joined(doc[out], start[out], start[out] + size[out])
-        yield _batch("ask h doc start stop", np.zeros(len(d), bool), np.zeros(len(d), "i8"), d, a, b)
-        # groups with more than one content: every first of a content is asked for
-        group = np.cumsum(~same_h)
-        first = ~same & (kind == 0)
-        contents = np.bincount(group, first)
-        carried = bool(same_h[0])
-        plural = contents > 1
-        if carried:
-            plural[group[0]] = tail["plural"] or contents[group[0]] + 1 > 1 and contents[group[0]] > 0
-        asked = first & plural[group]
-        if carried and not tail["plural"] and plural[group[0]]:
-            yield _batch("ask h doc start stop", *(np.array([v]) for v in (True, tail["first"][0], *tail["first"][1:])))
-        yield _batch("ask h doc start stop", np.ones(asked.sum(), bool), h[asked], doc[asked], start[asked], (start + size)[asked])
-        last_group = np.flatnonzero(group == group[-1])[0]
-        own = carried and group[-1] == group[0]
-        tail = {"kind": kind[-1], "h": h[-1], "whole": whole[-1], "lead_doc": lead_doc[-1], "lead_start": lead_start[-1], "plural": bool(plural[group[-1]]), "first": tail["first"] if own else (h[last_group], doc[last_group], start[last_group], (start + size)[last_group])}
+        region = kind == 0
+        spans = [(x[~region]) for x in (doc, th, start, size)]
+        h, w1, w2, doc, th, start, size = (np.concatenate([np.array(tail[k : k + 1], "i8"), x[region]]) for k, x in enumerate((h, w1, w2, doc, th, start, size)))
+        lead = changes(h, w1, w2)
+        at = np.maximum.accumulate(np.where(lead, np.arange(len(h)), 0))
+        late = np.any([x != x[at] for x in (doc, th, start)], axis=0) if len(h) else lead
+        d, t, a, b = joined(tuple(np.concatenate([x[late], y]) for x, y in ((doc, spans[0]), (th, spans[1]))), np.concatenate([start[late], spans[2]]), np.concatenate([(start + size)[late], spans[2] + spans[3]]))
+        yield _batch("kind h doc th start stop", np.ones(len(d), "i1"), np.zeros(len(d), "i8"), d, t, a, b)
+        lead[: len(tail) and 1] = False  # given before
+        yield _batch("kind h doc th start stop", np.zeros(int(lead.sum()), "i1"), h[lead], doc[lead], th[lead], start[lead], (start + size)[lead])
+        if len(h):
+            tail = tuple(x[at[-1]] for x in (h, w1, w2, doc, th, start, size))
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The bytes of asked regions: doc, text, asked (array of h, start, stop). A long text gives many small batches."""
-    names, kinds = ["h", "doc", "start", "part"], (pa.int64(), pa.int64(), pa.int64(), pa.binary())
-    rows: list[list] = [[], [], [], []]
+    """The bytes of asked regions: doc, th, text, asked (array of h, start, stop). A long text gives many small batches."""
+    names, kinds = ["h", "doc", "th", "start", "part"], (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
+    rows: list[list] = [[], [], [], [], []]
     for batch, texts in blocks(batches):
-        bounds, asked = batch.column(2).offsets.to_pylist(), batch.column(2).values
-        for doc, text, low, high in zip(batch.column(0).to_pylist(), texts, bounds, bounds[1:]):
+        bounds, asked = batch.column(3).offsets.to_pylist(), batch.column(3).values
+        for doc, th, text, low, high in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts, bounds, bounds[1:]):
             data = text.encode()
             for at in range(low, high, ROWS):
-                h, start, stop = (asked.field(k)[at : min(at + ROWS, high)].to_numpy() for k in ("h", "start", "stop"))
-                there = stop <= len(data)
-                h, start, stop = h[there].tolist(), start[there].tolist(), stop[there].tolist()
-                for column, values in zip(rows, (h, [doc] * len(h), start, [data[x:y] for x, y in zip(start, stop)])):
+                h, start, stop = (asked.field(k)[at : min(at + ROWS, high)].to_pylist() for k in ("h", "start", "stop"))
+                for column, values in zip(rows, (h, [doc] * len(h), [th] * len(h), start, [data[x:y] for x, y in zip(start, stop)])):
                     column += values
                 if len(rows[0]) >= ROWS:
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
-                    rows = [[], [], [], []]
+                    rows = [[], [], [], [], []]
     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds)], names=names)
 
 
 def _sorted_blocks(length: int, block: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by h: blocks of whole groups, each through a suffix array."""
-        held: list[tuple[int, int, int, bytes]] = []
+        held: list[tuple[int, int, int, int, bytes]] = []
         size = 0
 
         def settle() -> pa.RecordBatch:
-            d, a, b = repeated([r[3] for r in held], np.array([r[1] for r in held], "i8"), np.array([r[2] for r in held], "i8"), length)
-            return _batch("doc start stop", d, a, b)
+            return _batch("doc th start stop", *repeated([r[4] for r in held], *(np.array([r[k] for r in held], "i8") for k in (1, 2, 3)), length))
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
@@ -284,58 +282,90 @@ def _sorted_blocks(length: int, block: int):  # noqa: ANN202
                     yield settle()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[3])
+                size += len(row[4])
         if held:
             yield settle()
 
     return run
 
 
-def _windows(length: int):  # noqa: ANN202
+def _cut_anew(length: int, gram: int):  # noqa: ANN202
+    """Parts of large groups, cut by longer k-grams: kind 0 with their bytes; spans (kind 1) of those that are equal inside a block."""
+    names = "kind h w1 w2 doc th start stop part"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Windows of the regions of very large groups: two 64-bit hashes, and the place."""
         for batch in batches:
-            for doc, start, part in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                hashes = [xxhash.xxh3_128_digest(part[i : i + length]) for i in range(len(part) - length + 1)]
-                pair = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-                yield _batch("w1 w2 doc start", pair[:, 0], pair[:, 1], np.full(len(pair), doc), start + np.arange(len(pair)))
+            rows = zip(*(batch.column(k).to_pylist() for k in (1, 2, 3, 4)))
+            for h, w1, w2, doc, th, start, size, (data, first) in _pieces(rows, length, gram):
+                order, lead, late = _order(h, w1, w2, doc, th, start)
+                keep, gone = order[lead], order[late]
+                parts = pa.array([data[a:b] for a, b in zip(first[keep].tolist(), (first + size)[keep].tolist())], pa.binary())
+                yield _batch(names, np.zeros(len(keep), "i1"), *(x[keep] for x in (h, w1, w2, doc, th, start)), (start + size)[keep], parts)
+                d, t, a, b = joined((doc[gone], th[gone]), start[gone], start[gone] + size[gone])
+                yield _batch(names, np.ones(len(d), "i1"), a, d, t, d, t, a, b, pa.nulls(len(d), pa.binary()))
 
     return run
 
 
+def _meet_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of _cut_anew sorted by content and place: spans, and one part of each content. Contents are compared by their bytes."""
+    lead: tuple = ()
+    for batch in batches:
+        out: list[tuple] = []
+        for kind, h, _, _, doc, th, start, stop, part in zip(*(c.to_pylist() for c in batch.columns)):
+            if kind == 1:
+                out.append((1, h, doc, th, start, stop, None))
+            elif lead and lead[0] == h and lead[4] == part:
+                if lead[1:4] != (doc, th, start):
+                    out.append((1, h, doc, th, start, stop, None))
+            else:
+                lead = (h, doc, th, start, part)
+                out.append((0, h, doc, th, start, stop, part))
+        kinds = (pa.int8(), *[pa.int64()] * 5, pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 7, kinds)], names="kind h doc th start stop part".split())
+
+
 def removed_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP, block: int = BLOCK_BYTES) -> DataFrame:
-    """doc (null ids as NULL_ID), start, stop: bytes to remove; spans may touch or overlap."""
-    keyed = _keyed(docs)
-    met = keyed.mapInArrow(_regions(length), "kind byte, h long, whole long, doc long, start long, size long")
-    met = met.repartition("h").sortWithinPartitions("h", "kind", "whole", "doc", "start").mapInArrow(_meet, "ask boolean, h long, doc long, start long, stop long")
-    met = materialize(met, "regions")
-    spans = met.where("not ask").select("doc", "start", "stop")
-    asked = met.where("ask").groupBy("doc").agg(F.collect_list(F.struct("h", "start", "stop")).alias("asked"))
-    parts = materialize(keyed.join(asked, "doc").select("doc", "text", "asked").mapInArrow(_texts, "h long, doc long, start long, part binary"), "region-texts")
-    huge = materialize(parts.groupBy("h").count().where(F.col("count") > group).select("h"), "large-groups")
-    some = parts
-    if not huge.isEmpty():
-        some = parts.join(huge, "h", "left_anti")
-        windows = materialize(parts.join(huge, "h", "left_semi").select("h", "doc", "start", "part").mapInArrow(_windows(length), "w1 long, w2 long, doc long, start long"), "windows")
-        first = windows.groupBy("w1", "w2").agg(F.min(F.struct("doc", "start")).alias("m"), F.count("*").alias("n")).where("n > 1")
-        late = windows.join(first, ["w1", "w2"]).where("struct(doc, start) > m")
-        spans = spans.union(late.select("doc", "start", (F.col("start") + length).alias("stop")))
-    ordered = some.select("h", "doc", "start", "part").repartition("h").sortWithinPartitions("h", "doc", "start")
-    return spans.union(ordered.mapInArrow(_sorted_blocks(length, block), SPANS))
-
-
-def with_spans(docs: DataFrame, length: int = LENGTH, **settings) -> DataFrame:
-    """docs and a column _spans: array of (start, stop), unordered, null if nothing goes."""
-    spans = removed_spans(docs, length, **settings).groupBy("doc").agg(F.collect_list(F.struct("start", "stop")).alias("_spans"))
-    key = F.coalesce(docs["doc_id"].cast("long"), F.lit(NULL_ID))
-    return docs.join(spans, key == spans["doc"], "left").select(*[docs[c] for c in docs.columns], "_spans")
+    """doc (null ids as NULL_ID), th (hash of the text), start, stop: bytes to remove; spans may touch or overlap."""
+    keyed = docs.select(*_key(docs), docs["text"].alias("text"))
+    found = keyed.mapInArrow(_regions(length), MET).repartition("h", "w1", "w2").sortWithinPartitions("h", "w1", "w2", "kind", "doc", "th", "start")
+    met = materialize(found.mapInArrow(_meet, "kind byte, h long, doc long, th long, start long, stop long"), "regions")
+    spans = met.where("kind = 1").select("doc", "th", "start", "stop")
+    leads = met.where("kind = 0").select("h", "doc", "th", "start", "stop")
+    plural = leads.groupBy("h").count().where("count > 1").select("h")
+    asked = leads.join(plural, "h").groupBy("doc", "th").agg(F.collect_list(F.struct("h", "start", "stop")).alias("asked"))
+    texts = keyed.join(asked, ["doc", "th"]).select("doc", "th", "text", "asked")
+    parts = materialize(texts.mapInArrow(_texts, PARTS), "region-texts")
+    for gram in [g for g in GRAMS if g < length] + [length]:
+        large = materialize(parts.groupBy("h").count().where(F.col("count") > group).select("h"), "large-groups")
+        if large.isEmpty():
+            break
+        anew = parts.join(large, "h", "left_semi").select("h", "doc", "th", "start", "part").mapInArrow(_cut_anew(length, gram), "kind byte, h long, w1 long, w2 long, doc long, th long, start long, stop long, part binary")
+        anew = anew.repartition("h", "w1", "w2").sortWithinPartitions("h", "w1", "w2", "kind", "part", "doc", "th", "start").mapInArrow(_meet_parts, "kind byte, h long, doc long, th long, start long, stop long, part binary")
+        anew = materialize(anew, "split-groups")
+        spans = spans.union(anew.where("kind = 1").select("doc", "th", "start", "stop"))
+        spans = spans.union(_by_suffix_arrays(parts.join(large, "h", "left_anti"), length, block))
+        parts = anew.where("kind = 0").select("h", "doc", "th", "start", "part")
+    return spans.union(_by_suffix_arrays(parts, length, block))
+
+
+def _by_suffix_arrays(parts: DataFrame, length: int, block: int) -> DataFrame:
+    ordered = parts.select("h", "doc", "th", "start", "part").repartition("h").sortWithinPartitions("h", "doc", "th", "start")
+    return ordered.mapInArrow(_sorted_blocks(length, block), SPANS)
+
+
+def with_spans(docs: DataFrame, length: int = LENGTH, name: str = "_spans", **settings) -> DataFrame:
+    """docs and a column of that name: array of (start, stop), unordered, null if nothing goes."""
+    spans = removed_spans(docs, length, **settings).groupBy("doc", "th").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    rows = docs.select(F.struct("*").alias("row"), *_key(docs))
+    return rows.join(spans, ["doc", "th"], "left").select("row.*", F.col("spans").alias(name))
 
 
 def cut_at(data: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[bytes, list[tuple[int, int]]]:
     """What is left of data, and the maximal runs that went."""
     if not len(starts):
         return data, []
-    _, starts, stops = joined(np.zeros(len(starts), "i8"), starts, stops)
+    starts, stops = joined((), starts, stops)
     runs = [(a, min(b, len(data))) for a, b in zip(starts.tolist(), stops.tolist()) if a < len(data)]
     ends = [0, *(b for _, b in runs)]
     return b"".join(data[a:b] for a, b in zip(ends, [*(a for a, _ in runs), len(data)])), runs
@@ -363,7 +393,7 @@ def op6_query(spark: SparkSession, sf_dir: str) -> DataFrame:
                     column.append(v)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(rows, (pa.int64(), pa.int64(), pa.int64(), pa.string())))], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = read_table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return with_spans(docs).mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -380,4 +410,4 @@ def keep_unique(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             columns[at] = pa.array(left, columns[at].type, mask=columns[at].is_null().to_numpy(zero_copy_only=False))
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return with_spans(docs, length).mapInArrow(run, docs.schema)
+    return with_spans(docs, length, fresh(names, "spans")).mapInArrow(run, docs.schema)
