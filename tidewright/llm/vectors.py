@@ -5,9 +5,13 @@ query; a pair collides where one lies in the other's window. Pairs that collide
 verified by cosine in double precision. `needed` is calibrated: the greatest count that a pair at the threshold
 reaches with probability `recall`; nearer pairs reach it more surely.
 
-Distribution: equal vectors are one entry with a multiplicity. A label's entries are cut into slabs of about `slab` rows by quantiles
-of a first projection; a row meets the slabs that its (wider) window overlaps, each pair of slabs in one row group. So a hot label
-is many tasks, and a task holds two slabs. Tasks give per-entry sums of link counts and a spanning forest, never pairs.
+Distribution: equal vectors are one entry with a multiplicity. Entries meet in tables: a table cuts `m` projections of its own into cells
+of width CELL with random shifts, and its buckets are the entries of one label in one cell of each. `m` grows with the logarithm of a label's
+size, so that buckets keep theirs, and there are as many tables as let a pair at the threshold share a bucket with probability `recall`.
+So every entry is sent to a number of buckets that hardly grows, and nothing is compared across a whole label. Windows are counted
+inside a bucket; a pair counts in the first table where it shares a bucket. Buckets above `slab` entries are cut into blocks, each
+pair of blocks a row group of its own. Tasks give per-entry sums of link counts and a spanning forest, never pairs. A cluster whose
+members are all linked costs as much as it has links.
 
 Vectors that are null, zero, or hold null or non-finite components link with nothing, nor do rows with a null label: no links, a component of
 their own. Repeated rows count as links of each other. A null vec_id takes part under no id: it is not counted. An empty table gives
@@ -24,12 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .anchors import mix
 from .common import materialize
 from .graph import components
 
-COSINE, PROJECTIONS, WINDOW, RECALL, SLAB, SEED = 0.98, 24, 1.5, 0.99999, 1024, 5
-#: The slabs' window, in standard deviations of a projected difference at the threshold.
-REACH = 4.5
+COSINE, PROJECTIONS, WINDOW, RECALL, SLAB, SEED = 0.98, 24, 1.5, 0.9999999, 1024, 5
+#: Width of a cell in standard deviations of a projected difference at the threshold; entries that a bucket should have; least m.
+CELL, BUCKET, LEAST = 6.0, 1024, 3
 
 
 def needed_collisions(projections: int, window: float, recall: float) -> int:
@@ -52,23 +57,44 @@ def unit(vectors: np.ndarray) -> np.ndarray:
     return scaled / np.sqrt((scaled * scaled).sum(axis=1, keepdims=True))
 
 
+def table_shape(size: int, cosine: float = COSINE, recall: float = RECALL) -> tuple[int, int]:
+    """Projections of a table and number of tables for a label of so many entries."""
+    sigma = math.sqrt(max(2 - 2 * cosine, 0.0))
+    apart = 1 / CELL * math.sqrt(2 / math.pi)  # that a cell's bound lies between two vectors at the threshold
+    share = min(max(CELL * sigma / math.sqrt(4 * math.pi), 0.05), 0.9)  # that two unrelated vectors lie in one cell, about
+    m = max(LEAST, math.ceil(math.log(max(size / BUCKET, 1)) / -math.log(share)))
+    return m, math.ceil(math.log(1 - recall) / math.log(1 - (1 - apart) ** m))
+
+
+def bucket_keys(units: np.ndarray, m: int, tables: int, cosine: float = COSINE) -> np.ndarray:
+    """The 32-bit key of each unit vector in each table."""
+    width = CELL * math.sqrt(max(2 - 2 * cosine, 0.0)) or 1e-9
+    shifts = np.random.default_rng([SEED, 2]).random((tables, m))
+    cells = np.floor(units @ directions(units.shape[1], tables * m, SEED + 1) / width + shifts.ravel()).astype("i8").view("u8").reshape(len(units), tables, m)
+    key = np.zeros((len(units), tables), "u8")
+    for k in range(m):
+        key = mix(key ^ cells[:, :, k] + np.uint64(0x9E3779B97F4A7C15))
+    return (key >> np.uint64(32)).astype("u4").view("i4")
+
+
 def linked_pairs(x: np.ndarray, y: np.ndarray | None, cosine: float = COSINE, projections: int = PROJECTIONS, window: float = WINDOW, recall: float = RECALL) -> tuple[np.ndarray, np.ndarray]:
     """Verified pairs between unit vectors x and y (or within x): window collisions counted, then cosine."""
     a = directions(x.shape[1], projections)
     width = window * math.sqrt(max(2 - 2 * cosine, 0.0))
     least = needed_collisions(projections, window, recall)
-    px, py = (x @ a).T, (x if y is None else y) @ a
+    px = (x @ a).T
+    py = px if y is None else (y @ a).T
+    order = np.argsort(py, axis=1)  # every projection sorted once
+    rank = np.empty(py.shape, "i4")
+    np.put_along_axis(rank, order, np.arange(py.shape[1], dtype="i4")[None, :], axis=1)
+    values = np.take_along_axis(py, order, axis=1)
+    # a query's window as a range of ranks
+    low, high = (np.array([np.searchsorted(v, q + w, side=side) for v, q in zip(values, px)], "i4") for w, side in ((-width, "left"), (width, "right")))
     found_i, found_j = [], []
     for at in range(0, len(x), 256):
-        tally = np.zeros((min(256, len(x) - at), len(py)), "u1")
+        tally = np.zeros((min(256, len(x) - at), py.shape[1]), "u1")
         for p in range(projections):
-            order = np.argsort(py[:, p])
-            values = py[order, p]
-            # one side's window in the sorted projection, as starts and ends of runs
-            low = np.searchsorted(values, px[p, at : at + 256] - width, side="left")
-            high = np.searchsorted(values, px[p, at : at + 256] + width, side="right")
-            for row, i, j in zip(tally, low.tolist(), high.tolist()):
-                row[order[i:j]] += 1
+            tally += (rank[p] >= low[p, at : at + 256, None]) & (rank[p] < high[p, at : at + 256, None])
         i, j = np.nonzero(tally >= least)
         if y is None:
             i, j = i[i + at < j], j[i + at < j]
@@ -95,45 +121,51 @@ def tree(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = after
 
 
-def _project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Unit vectors in double precision, and the slabs' projection."""
-    for batch in batches:
-        vectors = batch.column(3).to_pylist()
-        units, first = [], []
-        for v in vectors:
-            u = unit(np.array([v], "f8"))[0]
-            units.append(u.astype("<f8").tobytes())
-            first.append(float(u @ directions(len(u), 1, SEED + 1)[:, 0]))
-        yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(units, pa.binary()), pa.array(first, pa.float64())], names=["node", "n", "group", "unit", "p"])
+def _deal(cosine: float):  # noqa: ANN202
+    """A row for every table of an entry: its bucket, the entry's keys of all tables, and the vector's bytes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, n, group, size, raw = (batch.column(k).to_pylist() for k in range(5))
+            shapes = [(*table_shape(s, cosine), len(v)) for s, v in zip(size, raw)]
+            for shape in sorted(set(shapes)):
+                own = [i for i, found in enumerate(shapes) if found == shape]
+                keys = bucket_keys(unit(np.array([raw[i] for i in own], "f8")), *shape[:2], cosine)
+                packed, tables = [k.tobytes() for k in keys], shape[1]
+                for t in range(tables):
+                    yield pa.RecordBatch.from_arrays([pa.array([group[i] for i in own]), pa.array([t] * len(own), pa.int32()), pa.array(keys[:, t]), pa.array([node[i] for i in own], pa.int64()), pa.array([n[i] for i in own], pa.int64()), pa.array(packed, pa.binary())], names=["group", "tab", "key", "node", "n", "keys"])
+
+    return run
+
 
+def _compare(cosine: float, kind: str):  # noqa: ANN202
+    """Buckets (or pairs of blocks of one), sorted: sums of links and a spanning forest of each."""
 
-def _compare(cosine: float):  # noqa: ANN202
     def settle(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        near = [r for r in rows if r[3] == 0]
-        far = [r for r in rows if r[3] == 1]
-        x, y = (np.array([np.frombuffer(r[6], "<f8") for r in part]) for part in (near, far))
-        every = near + far
-        node, count = np.array([r[4] for r in every], "i8"), np.array([r[5] for r in every], "i8")
-        if every[0][1] == every[0][2]:
-            i, j = linked_pairs(x, None, cosine)
-        elif not near or not far:
+        near, far = ([r for r in rows if r[5] == side] for side in (0, 1))
+        every, table = near + far, rows[0][1]
+        if len(every) < 2 or (rows[0][3] != rows[0][4] and not (near and far)):
             return
-        else:
-            i, j = linked_pairs(x, y, cosine)
-            j = j + len(near)
+        units = unit(np.array([np.frombuffer(r[9], kind) for r in every], "f8"))
+        i, j = linked_pairs(units[: len(near)], units[len(near) :] if far else None, cosine)
         if not len(i):
             return
-        total = np.bincount(i, count[j], len(every)).astype("i8") + np.bincount(j, count[i], len(every)).astype("i8")
+        j = j + len(near) if far else j
+        node, count = np.array([r[6] for r in every], "i8"), np.array([r[7] for r in every], "i8")
+        keys = np.array([np.frombuffer(r[8], "<i4")[:table] for r in every], "i4").reshape(len(every), table)
         root = tree(len(every), i, j)
+        new = np.concatenate([~(keys[i[k : k + 65_536]] == keys[j[k : k + 65_536]]).any(axis=1) for k in range(0, len(i), 65_536)])  # met in no table before
+        i, j = i[new], j[new]
+        total = np.bincount(i, count[j], len(every)).astype("i8") + np.bincount(j, count[i], len(every)).astype("i8")
         own, moved = np.flatnonzero(total), np.flatnonzero(root != np.arange(len(every)))
-        yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(total[own]), pa.array([None] * len(own), pa.int64())], names=["a", "n", "b"])
-        yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.array([None] * len(moved), pa.int64()), pa.array(node[root[moved]])], names=["a", "n", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(total[own]), pa.nulls(len(own), pa.int64())], names=["a", "n", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(node[moved]), pa.nulls(len(moved), pa.int64()), pa.array(node[root[moved]])], names=["a", "n", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and row[:3] != held[0][:3]:
+                if held and row[:5] != held[0][:5]:
                     yield from settle(held)
                     held = []
                 held.append(row)
@@ -152,23 +184,26 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, slab: int = SLAB) -
     keyed = base.withColumn("k1", F.when(F.col("ok"), F.xxhash64("label", "embedding"))).withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit(1), "embedding", "label")))
     entries = keyed.where("ok").groupBy("k1", "k2").agg(F.min("vec_id").alias("node"), F.count("*").alias("n"), F.first("label").alias("label"), F.first("embedding").alias("embedding"))
     entries = entries.select("node", "n", F.concat_ws(":", F.col("label").cast("string"), F.size("embedding").cast("string")).alias("group"), "embedding")
-    units = materialize(entries.mapInArrow(_project, "node long, n long, group string, unit binary, p double"), "unit-vectors")
-
-    largest = units.groupBy("group").count().agg(F.max("count")).first()[0] or 0
-    cuts = max(math.ceil(largest / slab) - 1, 0)
-    reach = REACH * math.sqrt(max(2 - 2 * cosine, 0.0))
-    if cuts:
-        at = [(k + 1) / (cuts + 1) for k in range(cuts)]
-        bounds = units.groupBy("group").agg(F.array_distinct(F.percentile_approx("p", at, 100 * (cuts + 1))).alias("bounds"))
-    else:
-        bounds = units.groupBy("group").agg(F.expr("cast(array() as array<double>)").alias("bounds"))
-    # slab of a value: how many bounds lie below it
-    below = "size(filter(bounds, b -> b < {0}))".format
-    placed = units.join(bounds, "group").withColumn("s", F.expr(below("p")))
-    up = placed.withColumn("t", F.explode(F.expr(f"sequence(s, {below(f'p + {reach}')})"))).select("group", F.col("s").alias("i"), F.col("t").alias("j"), F.lit(0).alias("side"), "node", "n", "unit")
-    down = placed.where(F.expr(f"{below(f'p - {reach}')} < s")).withColumn("t", F.explode(F.expr(f"sequence({below(f'p - {reach}')}, s - 1)"))).select("group", F.col("t").alias("i"), F.col("s").alias("j"), F.lit(1).alias("side"), "node", "n", "unit")
-    met = up.union(down).repartition("group", "i", "j").sortWithinPartitions("group", "i", "j", "side", "node")
-    found = materialize(met.mapInArrow(_compare(cosine), "a long, n long, b long"), "vector-links")
+    units = materialize(entries, "vector-entries")
+
+    sizes = units.groupBy("group").agg(F.count("*").alias("size"))
+    dealt = units.join(sizes, "group").select("node", "n", "group", "size", "embedding").mapInArrow(_deal(cosine), "group string, tab int, key int, node long, n long, keys binary")
+    dealt = materialize(dealt, "vector-buckets")
+    met = dealt.groupBy("group", "tab", "key").agg(F.count("*").alias("rows")).where("rows > 1")
+    blocks = F.when(F.col("rows") > slab, F.ceil(F.col("rows") / max(slab // 2, 1))).otherwise(1).cast("int")
+    placed = dealt.join(met, ["group", "tab", "key"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.select("group", "tab", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.expr("if(own > other, 1, 0)").alias("side"), "node", "n", "keys")
+    kind = "<f4" if dict(rows.dtypes)["embedding"] == "array<float>" else "<f8"
+
+    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.array(v, kind).tobytes() for v in batch.column(1).to_pylist()], pa.binary())], names=["node", "raw"])
+
+    vectors = units.select("node", "embedding").mapInArrow(raw, "node long, raw binary")
+    placed = placed.join(vectors, "node").select("group", "tab", "key", "i", "j", "side", "node", "n", "keys", "raw")
+    placed = placed.repartition("group", "tab", "key", "i", "j").sortWithinPartitions("group", "tab", "key", "i", "j", "side", "node")
+    found = materialize(placed.mapInArrow(_compare(cosine, kind), "a long, n long, b long"), "vector-links")
 
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("links"))
     joined = components(found.where("b is not null").select("a", "b"))
