@@ -216,6 +216,41 @@ def test_simhash_long_lists(spark):
         assert {k: got.get(k, k) for k in expected} == expected
 
 
+def test_simhash_negative_null_and_repeated_ids(spark):
+    """Nodes k and -k at distance 3 in blocks of one list; documents joined only through one without an id; what keep_first leaves."""
+    rng = random.Random(12)
+    base = rng.getrandbits(64)
+    prints = {}
+    for k in range(1, 61):
+        a = base ^ (rng.getrandbits(20) << 12)
+        prints[k], prints[-k] = a, a ^ 0b111
+    nodes = spark.createDataFrame([(k, fp - (1 << 64) if fp >> 63 else fp) for k, fp in prints.items()], "node long, fp long")
+    got = {r["node"]: r["component"] for r in graph.components(simhash.links(nodes, 4)).collect()}
+    assert all(got[k] == got[-k] for k in range(1, 61))
+    text = " ".join(f"word{i}" for i in range(300))
+    rows = [(7, text, 1), (7, text, 1), (None, text, 2), (9, text, 3), (None, "", 4), (None, None, 5), (12, "other words that are far away", 6), (-4, "one two three four five", 7)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, `group` int").withColumn("row", F.lit(1)).withColumn("th", F.lit(2))
+    found = simhash.near_duplicates(docs).collect()
+    assert len(found) == len(rows) and all(r["component_id"] == 7 for r in found if r["fp"] == next(x["fp"] for x in found if x["doc_id"] == 7))
+    kept = simhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    left = sorted((str(r["doc_id"]), r["group"]) for r in kept.collect())
+    assert left[:3] == [("-4", 7), ("12", 6), ("7", 1)] and len(left) == 4 and left[3][0] == "None"
+
+
+def test_tally_prunes_before_verification():
+    """Lists share three bytes; the tally of five drops most of their pairs, and no pair within the distance."""
+    rng = np.random.default_rng(3)
+    fp = (rng.integers(0, 1 << 40, 3000, dtype="u8") << np.uint64(24)) | np.uint64(0xABCDEF)
+    near = fp[:200] ^ (np.uint64(1) << rng.integers(24, 64, 200).astype("u8"))
+    fp = np.unique(np.concatenate([fp, near]))
+    seen = simhash.Counter()
+    found = simhash.forest(fp, np.zeros(len(fp), "i8"), seen=seen)
+    i, j = np.triu_indices(len(fp), 1)
+    assert seen["linked"] == int(simhash.verified(fp, i, j).sum()) >= len(found) >= 200
+    assert seen["met"] == len(i) and seen["linked"] <= seen["retained"] < seen["met"] / 100
+
+
 def test_components_of_chains_and_stars(spark):
     chain = [(k, k + 1) for k in range(100, 160)]
     star = [(5, k) for k in range(1000, 1060)]

@@ -1,31 +1,34 @@
 """SimHash near-duplicates by a byte-position inverted index with count filtering.
 
 Fingerprints that differ in at most 3 of 64 bits agree in at least 5 of their 8 bytes (the guaranteed minimum), so at
-least 3 of the first four or of the last four. The index therefore lists every distinct fingerprint under the 8 triples of positional bytes
-that lie in one half; pairs that meet in a list get their tally of shared positional bytes, pairs below 5 are dropped, and
-the rest are verified by their differing bits. Lists longer than `longest` are split further by two more shared
-bytes (10 lists of five positions, complete by the same count), and if still longer are compared block against block, each
+least 3 of the first four or of the last four. The index therefore posts every distinct fingerprint under the 8 triples of positional bytes
+that lie in one half, the prefixes of which such a pair shares one at least. Inside a list the shared positional bytes of every pair
+are tallied over the eight positions; pairs below the guaranteed 5 are dropped, and only the rest are verified by their differing bits.
+Lists longer than `longest` are split further by two more shared
+bytes (lists of five positions, complete by the same count), and if still longer are compared block against block, each
 pair of blocks in its own row group, so no task ever holds more than two blocks of one list.
 
-Equal fingerprints are one entry with their smallest doc_id. A list gives a spanning forest of its verified links, not all
-pairs; components follow on the distributed link table.
+Equal fingerprints are one entry. A list gives a spanning forest of its verified links, not all
+pairs; components follow on the distributed link table of fingerprints, and take the smallest doc_id of their documents.
 
-Null and empty texts have fingerprint zero and link like any other. Null doc_ids are left out of components' minima; a component without
-any id gets null. Repeated rows appear once each; an empty table gives no rows; other columns are ignored.
+Null and empty texts have fingerprint zero and link like any other. Null doc_ids link too, but give no component its id: a component without
+any id gets null. Repeated rows appear once each; an empty table gives no rows; other columns are ignored (keep_first keeps them,
+whatever their names).
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import map_blocks, materialize
+from .common import map_blocks, materialize, read_table
 from .graph import components
 
 SHINGLE, SEED, DISTANCE, SHARED, LONGEST = 3, 42, 3, 5, 4096
@@ -53,13 +56,18 @@ def fingerprint(text: str, width: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and fingerprint (as a signed long) of every document."""
+    """doc_id, th (a hash of the text, and of whether there is an id) and fp (fingerprint as a signed long) of every document."""
 
     def run(batch: pa.RecordBatch, texts: list[str]) -> dict:
         found = np.array([fingerprint(t) for t in texts], "u8").view("i8")
-        return {"doc_id": batch.column(0), "fp": pa.array(found)}
+        return {"doc_id": batch.column(0), "th": batch.column(1), "fp": pa.array(found)}
 
-    return map_blocks(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")), run, "doc_id long, fp long")
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_hash(docs).alias("th"), docs["text"].alias("text"))
+    return map_blocks(own, run, "doc_id long, th long, fp long")
+
+
+def text_hash(docs: DataFrame) -> Column:
+    return F.xxhash64(docs["text"], docs["doc_id"].isNull())
 
 
 def bytes_at(fp: np.ndarray, positions: tuple[int, ...]) -> np.ndarray:
@@ -69,18 +77,26 @@ def bytes_at(fp: np.ndarray, positions: tuple[int, ...]) -> np.ndarray:
     return out
 
 
-def linked(fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Whether pairs reach the tally of shared positional bytes and, verified, the distance."""
+def shared_bytes(fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The tally of pairs: how many positional bytes they share."""
     gap = fp[i] ^ fp[j]
-    tally = np.zeros(len(gap), "u1")
+    tally = np.zeros(np.shape(gap), "u1")
     for p in range(8):
         tally += (gap >> np.uint64(8 * p)) & np.uint64(255) == 0
-    return (tally >= SHARED) & (np.bitwise_count(gap) <= DISTANCE)
+    return tally
+
+
+def verified(fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    return np.bitwise_count(fp[i] ^ fp[j]) <= DISTANCE
+
 
+def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None, seen: Counter | None = None) -> list[tuple[int, int]]:
+    """Verified links inside runs of equal group numbers, as a spanning forest of row numbers.
 
-def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Verified links inside runs of equal group numbers, as a spanning forest of row numbers. sides: only links across them."""
+    sides: rows of a side other than -1 link only across sides. seen counts the pairs met, retained by the tally, and linked.
+    """
     root = np.arange(len(fp))
+    seen = Counter() if seen is None else seen
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -89,32 +105,37 @@ def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None)
         return x
 
     out: list[tuple[int, int]] = []
+
+    def settle(i: np.ndarray, j: np.ndarray) -> None:
+        seen["met"] += len(i)
+        retained = shared_bytes(fp, i, j) >= SHARED
+        i, j = i[retained], j[retained]
+        seen["retained"] += len(i)
+        hit = verified(fp, i, j)
+        seen["linked"] += int(hit.sum())
+        for x, y in zip(i[hit].tolist(), j[hit].tolist()):
+            rx, ry = find(x), find(y)
+            if rx != ry:
+                root[ry] = rx
+                out.append((x, y))
+
     bounds = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]])) if len(fp) else np.array([0])
     sizes = np.diff(bounds)
     for size in np.unique(sizes[sizes > 1]).tolist():
         starts = bounds[:-1][sizes == size]
-        if size <= 32:  # many short lists: all of one length at once
+        if size <= 32 and sides is None:  # many short lists: all of one length at once
             a, b = np.triu_indices(size, 1)
             for at in range(0, len(starts), max(1, 2_000_000 // len(a))):
                 part = starts[at : at + max(1, 2_000_000 // len(a)), None]
-                i, j = (part + a).ravel(), (part + b).ravel()
-                hit = linked(fp, i, j)
-                for x, y in zip(i[hit].tolist(), j[hit].tolist()):
-                    rx, ry = find(x), find(y)
-                    if rx != ry:
-                        root[ry] = rx
-                        out.append((x, y))
+                settle((part + a).ravel(), (part + b).ravel())
             continue
         for start in starts.tolist():
-            for x in range(start, start + size - 1):
-                j = np.arange(x + 1, start + size)
+            for x in range(start, start + size - 1, 64):
+                i, j = np.meshgrid(np.arange(x, min(x + 64, start + size - 1)), np.arange(x + 1, start + size), indexing="ij")
+                wanted = i < j
                 if sides is not None:
-                    j = j[sides[j] != sides[x]]
-                for y in j[linked(fp, np.full(len(j), x), j)].tolist():
-                    rx, ry = find(x), find(y)
-                    if rx != ry:
-                        root[ry] = rx
-                        out.append((x, y))
+                    wanted &= (sides[i] == -1) | (sides[i] != sides[j])
+                settle(i[wanted], j[wanted])
     return out
 
 
@@ -175,9 +196,9 @@ def links(entries: DataFrame, longest: int = LONGEST) -> DataFrame:
         return found
     # and what is still too long: every pair of blocks of the list
     blocked = finer.join(longer, ["list", "value"]).withColumn("blocks", F.ceil(F.col("n") / (longest // 2)).cast("int"))
-    own = blocked.withColumn("_row", F.abs("node")).withColumn("side", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks")).cast("int"))
+    own = blocked.withColumn("side", F.pmod(F.xxhash64("fp", F.lit(1)), F.col("blocks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).withColumn("sub", (F.least("side", "other") * F.col("blocks") + F.greatest("side", "other") + 1).cast("int"))
-    return found.union(in_order(dealt.withColumn("side", F.when(F.col("side") == F.col("other"), -2 - F.col("_row")).otherwise(F.col("side").cast("long"))).select("list", "value", "sub", "side", "node", "fp")))
+    return found.union(in_order(dealt.withColumn("side", F.when(F.col("side") == F.col("other"), F.lit(-1)).otherwise(F.col("side")).cast("long")).select("list", "value", "sub", "side", "node", "fp")))
 
 
 def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
@@ -185,22 +206,36 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
     yield None
 
 
+def grouped(prints: DataFrame, longest: int = LONGEST) -> DataFrame:
+    """Adds component_id (smallest doc_id) and group (smallest fingerprint) to doc_id, th, fp. prints is read several times: pass a written table."""
+    entries = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "entries")
+    joined = components(links(entries.select(F.col("fp").alias("node"), "fp"), longest))
+    own = entries.join(joined, entries["fp"] == joined["node"], "left").select("fp", "low", F.coalesce("component", "fp").alias("group"))
+    own = materialize(own, "groups")
+    lowest = own.groupBy("group").agg(F.min("low").alias("component_id"))
+    return prints.join(own.select("fp", "group").join(lowest, "group"), "fp")
+
+
 def near_duplicates(docs: DataFrame, longest: int = LONGEST) -> DataFrame:
     """doc_id, fp, component_id of every document."""
-    prints = materialize(fingerprints(docs), "fingerprints")
-    entries = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("node")).where("node is not null").select("node", "fp"), "entries")
-    joined = components(links(entries, longest))
-    label = entries.join(joined, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return prints.join(label, "fp", "left").select("doc_id", "fp", "component_id")
+    return grouped(materialize(fingerprints(docs), "fingerprints"), longest).select("doc_id", "fp", "component_id")
 
 
 def op4_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    found = near_duplicates(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """The document of smallest id of every component, with all its columns. doc_id must be unique; rows without an id stay."""
-    found = near_duplicates(docs)
-    dropped = found.where("component_id <> doc_id").select("doc_id")
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """One row of every component, with all its columns: that of smallest doc_id, or, without any, of smallest text hash. Of repeated rows one stays."""
+    found = grouped(materialize(fingerprints(docs), "fingerprints"))
+    found = materialize(found.select("group", F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).alias("doc"), "th"), "fingerprint-groups")
+    first = found.groupBy("group").agg(F.min(F.struct("none", "doc", "th")).alias("first"))
+    lost = found.join(first, "group").where(F.struct("none", "doc", "th") != F.col("first")).select("doc", "th").distinct()
+    again = materialize(found.groupBy("doc", "th").count().where("count > 1").select("doc", "th"), "repeated-rows")
+    keyed = docs.select(F.struct("*").alias("row"), F.coalesce(docs["doc_id"].cast("long"), F.lit(0)).alias("doc"), text_hash(docs).alias("th"))
+    left = keyed.join(lost, ["doc", "th"], "left_anti")
+    if again.isEmpty():
+        return left.select("row.*")
+    once = left.join(again, ["doc", "th"], "left_semi").groupBy("doc", "th").agg(F.first("row").alias("row"))
+    return left.join(again, ["doc", "th"], "left_anti").select("row.*").union(once.select("row.*"))
