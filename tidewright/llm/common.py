@@ -19,6 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than the cluster has cores, dealt to all of them; a larger one as it is. Only for scans: it asks for their splits."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def held_out(doc_id: Column) -> Column:
     """The fold rule: crc32 of the id as text, remainder 2 of 4. A null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2

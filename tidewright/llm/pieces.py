@@ -6,7 +6,7 @@ the adjacent pair of best score, leftmost first. With dropout, a candidate (left
 keyed hash falls below the rate: hash(key, offset, piece), with a key of its own for every occurrence, hash(seed, doc_id, number
 of the chunk in the document). So every occurrence of a word is cut anew, and a rerun gives the same ids. The merges that a chunk
 takes without dropout are remembered by each worker once two documents have it: an occurrence that skips none of them has the
-plain ids, every other one runs its agenda. Agendas of a block advance together in numpy.
+plain ids, every other one runs its agenda. Agendas of a block advance together in numpy; a very long chunk has a heap of its own.
 
 Characters without a piece become byte pieces. A literal U+2581 in a text becomes byte pieces too (the library would
 turn it into a space), so decode(encode(text)) == text for every text. Null text: empty, no ids. A null doc_id draws as 0. Repeated
@@ -15,6 +15,7 @@ rows with one doc_id get the same ids. Other columns are ignored.
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from itertools import chain, repeat
@@ -25,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MEMOS, blocks, vocabulary
+from .common import MEMOS, blocks, read_table, spread, vocabulary
 
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
@@ -33,6 +34,8 @@ DROPOUT, SEED, MEMO = 0.1, 7, 400_000
 BATCH_CHUNKS, BLOCK, OCCURRENCES = 20_000, 3_000_000, 200_000
 #: A longer chunk hardly keeps all of its merges: its agenda runs at once.
 LONG = 40
+#: The agenda of a chunk beyond this length is a heap: rounds over all its pairs would take time by the square of the length.
+WIDE = 256
 GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,7 +59,7 @@ class PieceTable:
         special = {i for i in range(n) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i) or model.is_unused(i)}
         self.ids = {p: i for i, p in enumerate(self.pieces) if i not in special}
         self.scores = np.array([model.get_score(i) for i in range(n)], "f4")
-        pairs = {}
+        pairs = self.pairs = {}
         for piece, i in self.ids.items():
             for cut in range(1, len(piece)):
                 a, b = self.ids.get(piece[:cut]), self.ids.get(piece[cut:])
@@ -125,6 +128,13 @@ def skips(key: np.ndarray, offset: np.ndarray, piece: np.ndarray, rate: float) -
     return dropped(key, candidate(offset, piece), rate)
 
 
+def mix_one(x: int) -> int:
+    """mix of one number."""
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & 0xFFFFFFFFFFFFFFFF
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & 0xFFFFFFFFFFFFFFFF
+    return x ^ (x >> 31)
+
+
 class PieceEncoder:
     def __init__(self, path: str, rate: float = DROPOUT, seed: int = SEED, memo: int = MEMO):
         if not 0 <= rate <= 1:
@@ -145,6 +155,11 @@ class PieceEncoder:
         """Runs the agendas of all chunks together; every round makes the best allowed merge of each chunk, and appends it to taken."""
         rate = self.rate if rate is None else rate
         t = self.table
+        wide = [i for i, c in enumerate(chunks) if len(c) > WIDE]
+        if wide:  # never with taken: only short chunks are learned
+            near = [i for i, c in enumerate(chunks) if len(c) <= WIDE]
+            found = dict(zip(near, self.agenda([chunks[i] for i in near], [keys[i] for i in near], rate))) if near else {}
+            return [found[i] if i in found else self._heap_agenda(c, int(keys[i]), rate) for i, c in enumerate(chunks)]
         count = np.array([len(c) or 1 for c in chunks])
         codes = np.frombuffer("".join(c or SPACE for c in chunks).encode("utf-32-le"), "<u4").astype("i4")
         start = t.char[codes]
@@ -193,6 +208,40 @@ class PieceEncoder:
             out[i] = np.array(ids, "<u4").tobytes()
         return out
 
+    def _heap_agenda(self, chunk: str, key: int, rate: float) -> bytes:
+        """The agenda of one chunk in the order of a heap, over a linked list of symbols."""
+        t, pairs, scores = self.table, self.table.pairs, self.table.scores.tolist()
+        start = t.char[np.frombuffer(chunk.encode("utf-32-le"), "<u4")]
+        n = len(start)
+        merged = t.merge(start[:-1], start[1:])
+        at = np.flatnonzero(merged >= 0)
+        if rate and at.size:
+            at = at[~skips(np.full(len(at), key, "u8"), at, merged[at], rate)]
+        heap = list(zip((-t.scores[merged[at]]).tolist(), at.tolist(), merged[at].tolist()))
+        heapq.heapify(heap)
+        sym, after, before = start.tolist(), list(range(1, n + 1)), list(range(-1, n - 1))
+        alive, limit = bytearray(b"\1") * n, rate * 2.0**53
+        while heap:
+            _, i, m = heapq.heappop(heap)
+            j = after[i]
+            if not alive[i] or j == n or sym[i] < 0 or sym[j] < 0 or pairs.get(sym[i] << 32 | sym[j]) != m:
+                continue
+            sym[i], alive[j], k = m, 0, after[j]
+            after[i] = k
+            if k < n:
+                before[k] = i
+            for left, right in ((before[i], i), (i, k)):
+                if left >= 0 and right < n and sym[left] >= 0 and sym[right] >= 0:
+                    piece = pairs.get(sym[left] << 32 | sym[right])
+                    if piece is not None and not (rate and mix_one((key + mix_one(left << 32 | piece)) & 0xFFFFFFFFFFFFFFFF) >> 11 < limit):
+                        heapq.heappush(heap, (-scores[piece], left, piece))
+        out: list[int] = []
+        i = 0
+        while i < n:
+            out += [sym[i]] if sym[i] >= 0 else [t.byte[b] for b in chr(-1 - sym[i]).encode()]
+            i = after[i]
+        return np.array(out, "<u4").tobytes()
+
     def escape(self, text: str) -> list[str]:
         """The chunks of a text; an empty chunk stands for a literal U+2581."""
         if not text:
@@ -336,5 +385,5 @@ def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
 
 def op1_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and unsigned crc32 of the ids, and crc32 of the UTF-8 text that they decode to."""
-    back = decode(encode(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    back = decode(encode(spread(read_table(spark, sf_dir, "documents"))))
     return back.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
