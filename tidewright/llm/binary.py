@@ -26,17 +26,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, shared_folder, vocabulary
+from .common import blocks, read_table, shared_folder, vocabulary
 from .ids import encoder
 
 MAGIC, BLOCK_DOCS, END_ID = b"TWIDS1\0\0", 1024, 0
 HEAD = struct.Struct("<8sHHI32sQ")
-DICTIONARY_DOCS, DICTIONARY_BYTES = 512, 65_536
+DICTIONARY_DOCS, DICTIONARY_BYTES, SAMPLE_BYTES = 512, 65_536, 16_384  # SAMPLE_BYTES: of one document's ids, at most
 BLOCKS = "shard int, start long, n_docs int, n_tokens long, first_doc long, last_doc long, payload binary"
 
 
 def serialize(ids: bytes, item: int) -> bytes:
-    return ids if item == 4 else np.frombuffer(ids, "<u4").astype("<u2").tobytes()
+    """Ids in items of that many bytes; ids beyond them are refused."""
+    if item == 4:
+        return ids
+    numbers = np.frombuffer(ids, "<u4")
+    if len(numbers) and int(numbers.max()) >= 1 << (8 * item):
+        raise ValueError(f"id {int(numbers.max())} needs more than {item} bytes")
+    return numbers.astype(f"<u{item}").tobytes()
 
 
 def train_dictionary(samples: list[bytes], size: int = DICTIONARY_BYTES) -> bytes:
@@ -87,15 +93,26 @@ class Block:
         return np.frombuffer(raw, f"<u{self.item}").astype("<u4")
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, item: int = 2, shards: int | None = None, level: int = 1) -> None:
-    """Writes the files of all documents below path. item: bytes of an id, 2 where the vocabulary has at most 65,536 ids, else 4.
+def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, item: int | None = None, shards: int | None = None, level: int = 1) -> None:
+    """Writes the files of all documents below path. item: bytes of an id; 2 where the vocabulary and the end id allow it, else 4.
 
-    The dictionary is trained on the first DICTIONARY_DOCS documents that the scan gives; it decides the files' size only.
+    The dictionary is trained on the ids of DICTIONARY_DOCS documents, those of least hash of id and text in the whole table, of each its first
+    SAMPLE_BYTES; it decides the files' size only.
     """
     spark, tokenizer = docs.sparkSession, tokenizer or vocabulary("byte_bpe_50k.json")
+    if item is None:
+        item = 2 if max(encoder(tokenizer).library.get_vocab_size() - 1, end_id) < 1 << 16 else 4
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    sample = [r[0] or "" for r in docs.select("text").limit(DICTIONARY_DOCS).collect()]
-    dictionary = train_dictionary([serialize(x, item) for x in encoder(tokenizer).encode(sample) if x])
+    drawn = docs.select(F.xxhash64("doc_id", "text").alias("r")).orderBy("r").limit(DICTIONARY_DOCS).agg(F.max("r")).first()[0]
+    least = docs.where(F.xxhash64("doc_id", "text") <= drawn) if drawn is not None else docs.limit(0)
+
+    def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches, memo="ids"):
+            found = [serialize(x, item)[:SAMPLE_BYTES] for x in encoder(tokenizer).encode(texts)]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], names=["ids"])
+
+    sample = least.select("text").mapInArrow(serialized, "ids binary").distinct().orderBy("ids").limit(DICTIONARY_DOCS).collect()  # 8 MB at most
+    dictionary = train_dictionary([bytes(r[0]) for r in sample if r[0]])
     spark.createDataFrame([(bytearray(dictionary), hashlib.sha256(dictionary).hexdigest(), item, end_id)], "content binary, sha256 string, item int, end_id int").coalesce(1).write.parquet(f"{path}/dictionary")
     end = np.array([end_id], "<u4").tobytes()
 
@@ -162,5 +179,5 @@ def digest(frame: DataFrame) -> DataFrame:
 
 def op7_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_folder(spark, "token-ids")
-    write_ids(spark.read.parquet(f"{sf_dir}/documents.parquet"), path)
+    write_ids(read_table(spark, sf_dir, "documents"), path)
     return digest(read_ids(spark, path))
