@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import MEMOS, map_blocks, vocabulary
+from .common import MEMOS, map_blocks, read_table, spread, vocabulary
 
 WORD = re.compile("[^ \u0009-\u000d]+")
 SPACE, MEMO = "▁", 400_000
@@ -124,4 +124,4 @@ def token_counts(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op8_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_counts(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return token_counts(spread(read_table(spark, sf_dir, "documents")))

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, release, vocabulary
+from .common import blocks, read_table, release, spread, vocabulary
 from .ids import encoder
 
 TIERS, LEAST_WINDOW, STEP_TOKENS, END_ID = (1024, 512, 256, 128), 16, 16_384, 0
@@ -162,4 +162,4 @@ def pack(docs: DataFrame, tokenizer: str | None = None, tiers: tuple[int, ...] =
 
 
 def op3_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(spread(read_table(spark, sf_dir, "documents")))

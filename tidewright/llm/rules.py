@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import fresh, materialize
+from .common import fresh, materialize, read_table, spread
 
 #: A text's words are the pieces between runs of these characters.
 SPACES = r"[\\x20\\x09-\\x0D]"
@@ -132,7 +132,7 @@ def judge(counts: DataFrame, keep: float = KEEP, rules: tuple = RULES) -> DataFr
 
 
 def op9_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = materialize(rule_counts(spark.read.parquet(f"{sf_dir}/documents.parquet")), "rule-counts")
+    counts = materialize(rule_counts(spread(read_table(spark, sf_dir, "documents"))), "rule-counts")
     return judge(counts).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
