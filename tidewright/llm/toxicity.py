@@ -4,12 +4,13 @@ Every token that can be read in more than one way is a lattice: look-alike signs
 characters may be dropped, a letter written twice may be written once, one written three times or more once or twice. Runs of short
 pieces (at most SHORT characters each) over any white space are lattices too, whose white space may be dropped. Viterbi decoding under a
 character language model takes the likeliest reading, over all contexts; the plain reading is one of them. Tokens with one reading pass
-through, which is what decoding would give. Words as written stay readable beside those restored.
+through, which is what decoding would give. Only the restored text is scored.
 The model counts four-character sequences over the whole corpus, so its statistics grow with the input while its table has
 a fixed size (32^4). A restored word's evidence is the greatest log odds of those of it and its beginnings that are significantly
 more frequent in toxic documents; a logistic curve turns a document's summed evidence into a probability.
 
-The classifier uses at most `sample` labelled rows outside the held-out fold, in the order of a hash of their ids.
+The classifier uses at most `sample` labelled rows outside the held-out fold, in the order of a hash of their ids, and keeps the
+FEATURES words and beginnings of greatest association.
 
 A null or empty text has no words: its score is that of no evidence. Null labels are no labels; of several labels of an id the
 largest counts. Null doc_ids and repeated rows are scored. Other columns are ignored.
@@ -25,18 +26,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, held_out, map_blocks, read_table
+from .common import blocks, held_out, map_blocks, materialize, read_table, spread
 
 SAMPLE, FEATURES, SIGNIFICANT, THRESHOLD, MEMO = 6000, 4000, 22.0, 0.3, 300_000
 #: Look-alike signs and the letters that they may stand for.
 LOOKALIKE = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "(": "c", "£": "l"}
 SEPARATORS = frozenset(" .-_*~'`,·•/\\")
 EDGE = ".,;:!?\"()[]{}<>|*$%&#=/\\~_-+'`«»¿¡…·•@^"
-#: Log-probabilities of the channel: a sign for a letter, a separator put in, a letter repeated; of leaving a sign as it is; and of a letter written twice for once.
-SIGN, DROP, REPEAT, ASIS, DOUBLE = -1.0, -1.2, -0.4, -6.0, -2.0
+#: Log-probabilities of the channel: a sign for a letter, a separator put in, a letter repeated; of leaving a sign as it is; of a letter written twice for once, and of a sign put in.
+SIGN, DROP, REPEAT, ASIS, DOUBLE, PUT = -1.0, -1.2, -0.4, -6.0, -2.0, -2.5
 WORD = re.compile("[^ \u0009-\u000d]+")
 TWICE = re.compile(r"([^\W\d_])\1")
 SHORT = 3
@@ -107,10 +108,15 @@ class Channel:
 
     def __init__(self, model: np.ndarray):
         self.model = model
+        self.flat = model.ravel().tolist()  # numbers that Python reads fast
         self.memo: dict[str, tuple[str, ...]] = {}
+        self.runs: dict[str, tuple[str, ...]] = {}
 
-    def __getstate__(self) -> dict:
-        return {"model": self.model, "memo": {}}
+    def __getstate__(self) -> np.ndarray:
+        return self.model
+
+    def __setstate__(self, model: np.ndarray) -> None:
+        self.__init__(model)
 
     def readings(self, token: str) -> list[list[tuple[str, float]]]:
         """For each character what it may stand for ("" if dropped), with its channel cost."""
@@ -122,7 +128,7 @@ class Channel:
             if c in LOOKALIKE:
                 options = [(x, SIGN) for x in LOOKALIKE[c]] + [(" ", ASIS)]
                 if not c.isdigit():
-                    options.append(("", DROP))
+                    options.append(("", PUT))
             elif c in SEPARATORS:
                 options = [("", DROP), (" ", 0.0)]
             elif c.isalpha():
@@ -139,23 +145,32 @@ class Channel:
         return out
 
     def decode(self, token: str) -> str:
-        """The likeliest reading of a token; boundaries come out as spaces."""
+        """The likeliest reading of a token; boundaries come out as spaces. Of equal ones the greatest text."""
+        flat, context = self.flat, SYMBOLS**3
         states: dict[int, tuple[float, str]] = {0: (0.0, "")}
-        space = SYMBOLS**3
         for options in [*self.readings(token), [(" ", 0.0)]]:
+            if len(options) == 1 and len(states) == 1:  # one way on
+                (state, (score, text)), ((c, cost),) = next(iter(states.items())), options
+                s = symbol(c)
+                if s or state % SYMBOLS:
+                    at = state * SYMBOLS + s
+                    states = {at % context: (score + cost + flat[at], text + c)}
+                else:
+                    states = {state: (score + cost, text)}
+                continue
+            known = [(c, symbol(c) if c else -1, cost) for c, cost in options]
             after: dict[int, tuple[float, str]] = {}
             for state, (score, text) in states.items():
-                for c, cost in options:
-                    if c == "":
-                        to, value, written = state, score + cost, text
+                edge = state % SYMBOLS == 0
+                for c, s, cost in known:
+                    if s < 0 or (s == 0 and edge):
+                        to, new = state, (score + cost, text)
                     else:
-                        s = symbol(c)
-                        if s == 0 and state % SYMBOLS == 0:
-                            to, value, written = state, score + cost, text
-                        else:
-                            to, value, written = (state * SYMBOLS + s) % space, score + cost + float(self.model[state, s]), text + c
-                    if to not in after or (value, written) > after[to]:
-                        after[to] = value, written
+                        at = state * SYMBOLS + s
+                        to, new = at % context, (score + cost + flat[at], text + c)
+                    best = after.get(to)
+                    if best is None or new > best:
+                        after[to] = new
             states = after  # at most 32^3
         return max(states.values())[1].strip()
 
@@ -171,33 +186,37 @@ class Channel:
         end = token[at + len(token.strip(EDGE)) :] if core else ""
         if core and end and end[0] in "@$" and end[:3] not in ("$$$", "@@@"):
             core += end[: 2 if end[:2] == end[0] * 2 else 1]
+        if not core and len(token) > 2 and sum(c in "@$" for c in token) > 1 and len(set(token)) > 1:
+            core = token.strip(".,;:?\"")  # signs alone, of several kinds
         if core.isalpha() and not TWICE.search(core):
             words: tuple[str, ...] = (core,)
         elif not any(c.isalpha() or c in LOOKALIKE for c in core):
             words = ()  # no letter in any reading
         else:
             words = tuple(w for w in self.decode(core).split() if len(w) > 1)
-            words += tuple(w for w in re.split(r"[\W\d_]+", core) if len(w) > 2 and w not in words)  # plain readings stay readable
         self.memo[token] = words
         return words
 
     def run(self, run: str) -> tuple[str, ...]:
         """The words of a run of short pieces."""
-        known = self.memo.get(run)
+        known = self.runs.get(run)
         if known is None:
-            known = self.memo[run] = tuple(w for w in self.decode(run).split() if len(w) > 1)
+            known = self.runs[run] = tuple(w for w in self.decode(run).split() if len(w) > 1)
         return known
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
         text = text.lower()
         out: set[str] = set()
-        for token in set(WORD.findall(text)):
+        runs = set(RUN.findall(text))
+        for token in set(WORD.findall(RUN.sub(" ", text) if runs else text)):
             out.update(self.token(token))
-        for run in {" ".join(found.split()) for found in RUN.findall(text)}:
+        for run in {" ".join(found.split()) for found in runs}:
             out.update(self.run(run))
         if len(self.memo) > MEMO:
             self.memo.clear()
+        if len(self.runs) > MEMO // 3:
+            self.runs.clear()
         return out
 
 
@@ -230,15 +249,15 @@ class Scorer:
         return math.fsum(map(self.word, self.channel.words(text)))
 
 
-def association(toxic: float, clean: float, toxic_docs: float, clean_docs: float) -> float:
-    """Signed G-squared of a feature's presence against the label."""
-    a, b, n1, n0 = toxic, clean, toxic_docs, clean_docs
+def association(a: Column, b: Column, n1: int, n0: int) -> Column:
+    """G-squared of a feature's presence (in a toxic and b clean documents) against the label."""
     rate = (a + b) / (n1 + n0)
 
-    def part(k: float, n: float) -> float:
-        return sum(x * math.log(x / (n * r)) for x, r in ((k, rate), (n - k, 1 - rate)) if x > 0 and r > 0)
+    def part(k: Column, n: int) -> Column:
+        inside, outside = (F.when((x > 0) & (r > 0), x * F.log(x / (n * r))).otherwise(0.0) for x, r in ((k, rate), (n - k, 1 - rate)))
+        return inside + outside
 
-    return 2 * (part(a, n1) + part(b, n0)) * (1 if a / n1 >= b / n0 else -1)
+    return 2 * (part(a, n1) + part(b, n0))
 
 
 def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int = SAMPLE) -> Scorer:
@@ -251,11 +270,11 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("doc_id", "y", "text")
 
-    def present(batch: pa.RecordBatch, texts: list[str]) -> dict:
+    def restored(batch: pa.RecordBatch, texts: list[str]) -> dict:
         words = [shared.value.words(t) for t in texts]
-        return {"doc_id": batch.column(0), "y": batch.column(1), "f": [sorted({f for w in ws for f in features_of(w)}) for ws in words], "m": [signature(ws) for ws in words]}
+        return {"doc_id": batch.column(0), "y": batch.column(1), "w": [sorted(ws) for ws in words], "m": [signature(ws) for ws in words]}
 
-    rows = map_blocks(texts, present, "doc_id long, y int, f array<string>, m array<long>")
+    rows = materialize(map_blocks(texts, restored, "doc_id long, y int, w array<string>, m array<long>"), "restored-sample")
     # near copies count once: their common words are no independent evidence
     signed = sorted((r["doc_id"], r["y"], r["m"]) for r in rows.select("doc_id", "y", "m").collect())
     kept = set(independent([(d, m) for d, _, m in signed]))
@@ -263,20 +282,27 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
     if not n1 or not n0:
         return Scorer(channel, {}, math.log((n1 + 0.5) / (n0 + 0.5)) if n1 + n0 else 0.0)
     ids = spark.createDataFrame([(d,) for d in sorted(kept)], "doc_id long")
-    rows = rows.join(F.broadcast(ids), "doc_id")
-    counts = rows.select("y", F.explode("f").alias("f")).groupBy("f").agg(F.sum(F.expr("int(y = 1)")).alias("a"), F.sum(F.expr("int(y <> 1)")).alias("b")).where(f"a >= 2 and a * {n0} > 3 * b * {n1}")
-    counts = counts.orderBy(F.desc(F.expr("a - b")), "f").limit(5 * FEATURES).collect()
-    chosen = sorted(((association(r["a"], r["b"], n1, n0), r["f"], r["a"], r["b"]) for r in counts), key=lambda x: (-x[0], x[1]))
-    weights = {f: math.log((a + 0.5) / (b + 0.5) * (n0 + 1) / (n1 + 1)) for g, f, a, b in chosen[:FEATURES] if g >= SIGNIFICANT}
+
+    def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [sorted({f for w in ws or () for f in features_of(w)}) for ws in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.string()))], names=["y", "f"])
+
+    own = rows.join(F.broadcast(ids), "doc_id").select("y", "w").mapInArrow(present, "y int, f array<string>")
+    a, b = (F.sum(F.expr(f"int(y {sign} 1)")) for sign in ("=", "<>"))
+    counts = own.select("y", F.explode("f").alias("f")).groupBy("f").agg(a.alias("a"), b.alias("b")).where(f"a >= 2 and a * {n0} > 3 * b * {n1}")
+    counts = counts.withColumn("g", association(F.col("a"), F.col("b"), n1, n0)).where(F.col("g") >= SIGNIFICANT)
+    chosen = counts.orderBy(F.desc("g"), "f").limit(FEATURES).collect()
+    weights = {r["f"]: math.log((r["a"] + 0.5) / (r["b"] + 0.5) * (n0 + 1) / (n1 + 1)) for r in chosen}
     first = spark.sparkContext.broadcast(Scorer(channel, weights, 0.0))
 
-    def weighed(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        return {"doc_id": batch.column(0), "y": batch.column(1), "e": [first.value.evidence(t) for t in texts]}
+    def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [math.fsum(map(first.value.word, ws or ())) for ws in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "y", "e"])
 
-    data = map_blocks(texts, weighed, "doc_id long, y int, e double").toPandas().sort_values(["doc_id", "e"])  # at most `sample` ids
-    bias, slope = logistic(data["e"].to_numpy("f8"), np.minimum(data["y"].to_numpy("f8"), 1))
-    # one word of the strongest evidence is enough, however many the toxic documents of the sample have
-    return Scorer(channel, weights, max(bias, -0.85 * slope * max(weights.values(), default=0.0)) if weights else bias, slope)
+    data = rows.select("doc_id", "y", "w").mapInArrow(weighed, "doc_id long, y int, e double").toPandas().sort_values(["doc_id", "e"])  # at most `sample` ids
+    return Scorer(channel, weights, *logistic(data["e"].to_numpy("f8"), np.minimum(data["y"].to_numpy("f8"), 1)))
 
 
 def signature(words: set[str], n: int = 8) -> list[int]:
@@ -331,5 +357,5 @@ def score(docs: DataFrame, scorer: Scorer, threshold: float = THRESHOLD) -> Data
 
 
 def op5_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     return score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
