@@ -5,18 +5,20 @@ gives class probabilities. Vectors and layer are trained together by stochastic
 to the one before it also gives a token of its own, so that stuttering text is seen whatever the word. As
 averaging and layer are linear, scoring sums one precomputed logit per word.
 
-Training uses at most `sample` labelled rows outside the held-out fold, in the order of a hash of their ids; their features are
-counted on the executors. Every document is scored whole.
+Training uses at most `sample` labelled rows outside the held-out fold, in the order of a hash of their ids, and of them as many as
+have SAMPLE_BYTES of counted features; these are counted on the executors. Every document is scored whole.
 
 A null or empty text has no features: its score is the model's prior alone. Null labels are no labels; of several labels
 for an id the largest counts. Null doc_ids are scored. Repeated rows are scored again; without labels, or with one
-class, the score is that class' share (0.5 without any). Columns other than doc_id, text and the label are ignored.
+class, the score is that class' share (0.5 without any). Columns other than doc_id, text and the label are ignored; keep_good keeps them,
+whatever their names, and all repeated rows.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import held_out, map_blocks, read_table, release
+from .common import blocks, held_out, map_blocks, materialize, read_table, spread
 
 WORD = re.compile("[^ \u0009-\u000d]+")
 SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 100_000
-AGAIN = "\u0000again"
+SAMPLE_BYTES = 64_000_000
+AGAIN = " again"  # no word: it has a space
 THRESHOLD = 0.7
 
 
@@ -140,6 +143,15 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
     known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col(column).cast("int")).alias("y"))
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)  # at most `sample` rows: small enough to broadcast
     rows = feature_counts(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id"), ["doc_id", "y"])
+    rows = materialize(rows, "sample-features")
+    sizes = rows.groupBy("doc_id").agg(F.sum(F.length("ids")).alias("n")).collect()  # at most `sample` rows
+    room, small = SAMPLE_BYTES, []
+    for doc_id, n in sorted(map(tuple, sizes), key=lambda r: (r[1], r[0])):
+        room -= 2 * n
+        if room < 0:
+            break
+        small.append(doc_id)
+    rows = rows.where(F.col("doc_id").isin(small)) if room < 0 else rows
     found = sorted(((r["doc_id"], bytes(r["ids"]), r["y"], bytes(r["counts"])) for r in rows.collect()), key=lambda r: r[:2])
     order = [(np.frombuffer(i, "<i4"), np.frombuffer(c, "<f4"), y) for _, i, y, c in found]
     return train(order, **settings)
@@ -157,17 +169,16 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
 
 
 def op2_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spread(read_table(spark, sf_dir, "documents"))
     return score(docs, fit(docs, read_table(spark, sf_dir, "labels")))
 
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of docs that the classifier accepts, with all their columns."""
+    """The rows of docs that the classifier accepts, with all their columns. A row with a null or empty text has the prior's score."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def scored(texts):  # noqa: ANN001, ANN202
-        release()
-        return texts.map(lambda t: shared.value.score(t or ""))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, texts in blocks(batches):
+            yield batch.filter(pa.array([shared.value.score(t) >= threshold for t in texts], pa.bool_()))
 
-    return docs.where(scored(F.col("text")) >= threshold)
+    return docs.mapInArrow(run, docs.schema)
