@@ -1,7 +1,11 @@
 """Documents to training sequences: quality classifier, quality rules, SimHash near-duplicates, suffix-array passages, packing.
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and is written as Parquet before the next one reads it.
-A lost executor costs tasks of one stage. All but the last return the columns of docs.
+A lost executor costs tasks of one stage. All but the last return the columns of docs, whatever their names.
+
+Null and empty texts: the classifier gives them its prior's score; what it keeps of them fails the base rule. Rows with a null doc_id pass through like
+any other, and of a group of near-duplicates without any id one row stays. Repeated rows count once from simhash_dedup on.
+An empty table gives no rows.
 """
 
 from __future__ import annotations
