@@ -97,27 +97,29 @@ def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None,
     """
     root = np.arange(len(fp))
     seen = Counter() if seen is None else seen
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
     out: list[tuple[int, int]] = []
 
-    def settle(i: np.ndarray, j: np.ndarray) -> None:
+    def settle(i: np.ndarray, j: np.ndarray, low: int, high: int) -> None:
+        """Joins pairs of rows from low to high; a root takes part in one join at a time, so that joins form no cycle."""
         seen["met"] += len(i)
         retained = shared_bytes(fp, i, j) >= SHARED
         i, j = i[retained], j[retained]
         seen["retained"] += len(i)
         hit = verified(fp, i, j)
         seen["linked"] += int(hit.sum())
-        for x, y in zip(i[hit].tolist(), j[hit].tolist()):
-            rx, ry = find(x), find(y)
-            if rx != ry:
-                root[ry] = rx
-                out.append((x, y))
+        i, j = i[hit], j[hit]
+        while True:
+            x, y = root[i], root[j]
+            apart = x != y
+            if not apart.any():
+                return
+            i, j = i[apart], j[apart]
+            greater, lesser = np.maximum(x, y)[apart], np.minimum(x, y)[apart]
+            _, one = np.unique(greater, return_index=True)
+            root[greater[one]] = lesser[one]
+            out.extend(zip(i[one].tolist(), j[one].tolist()))
+            while (root[root[low:high]] != root[low:high]).any():
+                root[low:high] = root[root[low:high]]
 
     bounds = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1], [True]])) if len(fp) else np.array([0])
     sizes = np.diff(bounds)
@@ -127,7 +129,7 @@ def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None,
             a, b = np.triu_indices(size, 1)
             for at in range(0, len(starts), max(1, 2_000_000 // len(a))):
                 part = starts[at : at + max(1, 2_000_000 // len(a)), None]
-                settle((part + a).ravel(), (part + b).ravel())
+                settle((part + a).ravel(), (part + b).ravel(), int(part[0, 0]), int(part[-1, 0]) + size)
             continue
         for start in starts.tolist():
             for x in range(start, start + size - 1, 64):
@@ -135,7 +137,7 @@ def forest(fp: np.ndarray, groups: np.ndarray, sides: np.ndarray | None = None,
                 wanted = i < j
                 if sides is not None:
                     wanted &= (sides[i] == -1) | (sides[i] != sides[j])
-                settle(i[wanted], j[wanted])
+                settle(i[wanted], j[wanted], start, start + size)
     return out
 
 
