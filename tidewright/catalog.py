@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .plans import audio, queries
+from .plans import audio, queries, results
 
-QUERIES = {**queries.QUERIES, **audio.QUERIES}
-ORACLES = dict(queries.ORACLES)
+QUERIES = {**queries.QUERIES, **results.QUERIES, **audio.QUERIES}
+ORACLES = {**queries.ORACLES, **results.ORACLES}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

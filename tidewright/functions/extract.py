@@ -28,6 +28,8 @@ ANCHOR = r'<a[^>]+href=["\']([^"\']+)["\']'
 NARRATIVE = [r"(?is)Narasi(.*?)(?:Penjelasan|Kesimpulan|Hasil Periksa fakta)", r"(?is)Salah Sumber:(.*?)(?:Referensi|Artikel terbaru|$)"]
 TAG_LINKS = {"kompas": r'href="https://[^"]*kompas\.com/tag/([^"]+)"', "detik": r'href="https://[^"]*detik\.com/tag/([^"]+)"', "liputan6": r'href="https://www\.liputan6\.com/tag/([^"]+)"', "cnnindonesia": r'href="https://www\.cnnindonesia\.com/tag/([^"]+)"'}
 SKIPPED = {"cnnindonesia": ["/tag/", "/search/", "/infografis/", "/foto/"], "turnbackhoax": ["/tag/", "/category/", "/author/", "/page/"]}
+# Fixed value: what counts as a video among the links of a source block.
+SOURCE_VIDEO = r"(?:instagram\.com/(?:reel|p)/|tiktok\.com/.+/video/|(?:vm|vt)\.tiktok\.com/|(?:facebook\.com|fb\.com|fb\.watch).*(?:/videos/|watch\?v=|/reel/)|(?:twitter|x)\.com/\w+/status/|youtube\.com/(?:watch\?v=|embed/)|youtu\.be/)"
 FACT_CHECK_HOST = "turnbackhoax.id"
 
 
@@ -61,7 +63,7 @@ def preferred_urls(html: Column, base: Column) -> Column:
     """Video addresses among the anchors of a fact-check's source block."""
     blocks = F.array(*[F.regexp_extract(html, p, 1) for p in NARRATIVE])
     links = F.flatten(F.transform(blocks, lambda b: F.regexp_extract_all(b, F.lit(ANCHOR), F.lit(1))))
-    return F.array_sort(F.array_distinct(F.transform(F.filter(F.transform(links, lambda h: absolute(h, base)), _is_video), canonical)))
+    return F.array_sort(F.array_distinct(F.transform(F.filter(F.transform(links, lambda h: absolute(h, base)), lambda c: c.rlike("(?Ud)" + SOURCE_VIDEO)), canonical)))
 
 
 def page_video_urls(html: Column, base: Column) -> Column:

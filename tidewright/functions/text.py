@@ -61,8 +61,43 @@ def snippet(title: Column, summary: Column) -> Column:
     return F.when(F.trim(title) != "", F.rtrim(F.trim(F.concat(title, F.lit(". "), F.substring(summary, 1, 120))), F.lit(".")))
 
 
+def _folds() -> tuple[dict[str, str], dict[str, str]]:
+    """Where case folding goes beyond lower case, from the Unicode tables: to one character, and to several."""
+    found = {c: c.casefold() for c in map(chr, range(0x80, 0x1F000)) if c.casefold() != c.lower() and c.lower() == c}
+    return {c: f for c, f in found.items() if len(f) == 1}, {c: f for c, f in found.items() if len(f) > 1}
+
+
+ONE, SEVERAL = _folds()
+
+
+def casefold(text: Column) -> Column:
+    """Full case folding: lower case, then the characters that lower case leaves apart."""
+    out = F.translate(F.lower(text), "".join(ONE), "".join(ONE.values()))
+    several = out
+    for c, folded in SEVERAL.items():
+        several = F.replace(several, F.lit(c), F.lit(folded))
+    return F.when(out.rlike("[" + "".join(SEVERAL) + "]"), several).otherwise(out)
+
+
 def text_key(text: Column) -> Column:
-    return F.replace(F.lower(squeeze(text)), F.lit("ß"), F.lit("ss"))
+    return casefold(squeeze(text))
+
+
+def unreadable(document: Column) -> Column:
+    """Whether a JSON document is neither a list nor an object with items: json_items gives no row for it."""
+    inner = F.coalesce(F.when(F.trim(document).startswith('"'), F.get_json_object(F.concat(F.lit('{"a":'), document, F.lit("}")), "$.a")), document)
+    listed = F.from_json(F.when(F.trim(inner).startswith("["), inner), "array<string>").isNotNull()
+    return ~(listed | F.coalesce(F.trim(F.get_json_object(inner, "$.items")).startswith("["), F.lit(False)))
+
+
+def item_kind_findings(items: Column) -> Column:
+    """Array of (index, severity, reason) for the elements of a JSON list that are no objects, by the kind that they have."""
+    each = F.from_json(items, "array<string>")
+    first = lambda e: F.substring(F.trim(e), 1, 1)
+    text = F.transform(F.from_json(items, "array<variant>"), lambda v: F.schema_of_variant(v))
+    kind = lambda k: F.when(k.isNull() | (k == "VOID"), "NoneType").when(k.startswith("ARRAY"), "list").when(k == "STRING", "str").when(k == "BOOLEAN", "bool").when(k.isin("BIGINT"), "int").otherwise("float")
+    made = F.zip_with(each, text, lambda e, k: F.when(~F.coalesce(k, F.lit("")).startswith("OBJECT") | (first(e) != "{"), F.concat(F.lit("item-not-object:"), kind(k))))
+    return F.filter(F.transform(made, lambda r, i: F.struct(i.cast("long").alias("index"), F.lit("error").alias("severity"), r.alias("reason"))), lambda f: f["reason"].isNotNull())
 
 
 def has_cjk(text: Column) -> Column:

@@ -102,12 +102,23 @@ def unquote(text: Column) -> Column:
     return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
 
 
+def plain_path(url: Column) -> Column:
+    """An address without . and .. segments in its path."""
+    root, path, rest = (F.regexp_extract(url, p, 1) for p in (r"^([^:/?#]+://[^/?#]*)", r"^[^:/?#]+://[^/?#]*([^?#]*)", r"^[^?#]*(.*)$"))
+    parts = F.split(path, "/")
+    none = F.expr("cast(array() as array<string>)")
+    # the first part is the blank before the root; a last . or .. leaves a folder
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), none, lambda a, p: F.when(p == ".", a).when(p == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0)))).otherwise(F.concat(a, F.array(p))))
+    tail = F.when(F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0), "/").otherwise("")
+    return F.when(path.rlike(r"(^|/)\.\.?(/|$)"), F.concat(root, F.lit("/"), F.array_join(kept, "/"), tail, rest)).otherwise(url)
+
+
 def absolute(href: Column, base: Column) -> Column:
-    """An address relative to a page: full, scheme-relative, root-relative, query and fragment forms, and plain names."""
+    """An address relative to a page: full ones of any scheme, scheme-relative, root-relative, query and fragment forms, and names with or without dots."""
     scheme, root = F.regexp_extract(base, r"^([^:]+:)", 1), F.regexp_extract(base, r"^([^:]+://[^/?#]*)", 1)
     page = F.regexp_extract(base, r"^([^?#]*)", 1)
     folder = F.when(page == root, F.concat(root, F.lit("/"))).otherwise(F.regexp_replace(page, r"[^/]*$", ""))
     return (
-        F.when(href.startswith("http"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), F.concat(root, href))
-        .when(href.startswith("?"), F.concat(page, href)).when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href)).otherwise(F.concat(folder, href))
+        F.when(href.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), href).when(href.startswith("//"), F.concat(scheme, href)).when(href.startswith("/"), plain_path(F.concat(root, href)))
+        .when(href.startswith("?"), F.concat(page, href)).when(href.startswith("#"), F.concat(F.regexp_extract(base, r"^([^#]*)", 1), href)).otherwise(plain_path(F.concat(folder, href)))
     )

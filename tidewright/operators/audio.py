@@ -8,9 +8,11 @@ import wave
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .. import dims
+
 DECODED = "sample_rate int, channels int, width int, frames long, samples array<float>, error string"
 
 
@@ -58,21 +60,98 @@ def resample(x: np.ndarray, source: int, target: int) -> np.ndarray:
     return np.interp(np.arange(n) * source / target, np.arange(len(x)), x)
 
 
+# Poles and gains of the pink filter, the delayed tap, the direct tap, and the final gain.
+PINK_POLES = (0.99886, 0.99332, 0.96900, 0.86650, 0.55000, -0.7616)
+PINK_GAINS = (0.0555179, 0.0750759, 0.1538520, 0.3104856, 0.5329522, -0.0168980)
+PINK_DELAYED, PINK_DIRECT, PINK_SCALE = 0.115926, 0.5362, 0.11
+
+
+def one_pole(x: np.ndarray, pole: float, block: int = 256) -> np.ndarray:
+    """y[n] = pole y[n - 1] + x[n], blocks at a time: a triangular product inside, one carried value between."""
+    rows = np.concatenate([x, np.zeros(-len(x) % block)]).reshape(-1, block)
+    powers = pole ** np.arange(block + 1)
+    lag = np.arange(block)[:, None] - np.arange(block)[None, :]
+    out = rows @ np.where(lag >= 0, powers[np.maximum(lag, 0)], 0.0).T
+    carried = 0.0
+    for row in out:
+        row += powers[1:] * carried
+        carried = row[-1]
+    return out.ravel()[: len(x)]
+
+
 def noise(x: np.ndarray, kind: str, level: float, seed: int) -> np.ndarray:
-    """x with noise added: white has deviation `level`; brown (integrated) and pink (1/f in power) have peak `level`."""
-    rng = np.random.default_rng(seed)
-    white = rng.standard_normal(len(x))
+    """x with noise added. white: deviation `level`; pink: a filter bank, peak `level`; brown: a running sum, peak level * samples / 100."""
+    white = np.random.default_rng(seed).standard_normal(len(x))
     if kind == "white" or not len(x):
         return x + white * level
     if kind == "brown":
-        made = np.cumsum(white)
-        made -= np.linspace(made[0], made[-1], len(made))
+        made, peak = np.cumsum(white), level * len(x) * 0.01
     else:
-        spectrum = np.fft.rfft(white)
-        spectrum[1:] /= np.sqrt(np.arange(1, len(spectrum)))
-        spectrum[0] = 0
-        made = np.fft.irfft(spectrum, len(x))
-    return x + made * (level / max(float(np.abs(made).max()), 1e-12))
+        made, peak = sum(one_pole(white * g, p) for p, g in zip(PINK_POLES, PINK_GAINS)), level
+        made = (made + PINK_DELAYED * np.concatenate([[0.0], white[:-1]]) + PINK_DIRECT * white) * PINK_SCALE
+    return x + made * (peak / max(float(np.abs(made).max()), 1e-300))
+
+
+def reverb(x: np.ndarray, room: float, rate: int) -> np.ndarray:
+    """One delayed copy added."""
+    d, out = int(rate * 0.1 * room), x.astype("f8").copy()
+    if 0 < d < len(x):
+        out[d:] += 0.3 * room * x[:-d]
+    elif d == 0:
+        out *= 1 + 0.3 * room
+    return out
+
+
+def echo(x: np.ndarray, delay: float, decay: float, rate: int) -> np.ndarray:
+    """A feedback delay of delay seconds: y[i] = x[i] + decay y[i - d], a block of one delay at a time."""
+    d, out = int(rate * delay), x.astype("f8").copy()
+    if d < 1:
+        raise ValueError("an echo needs a delay of one sample at least")
+    for at in range(d, len(out), d):
+        out[at : at + d] += decay * out[at - d : at][: len(out[at : at + d])]
+    return out
+
+
+#: Signal functions of the augmentation registry by name: (samples, parameters by name, rate, seed).
+AUGMENTERS = {
+    "pitch_shift": lambda x, p, rate, seed: pitch_shift(x, p["n_steps"]),
+    "time_stretch": lambda x, p, rate, seed: stretch(x, p["rate"]),
+    "white_noise": lambda x, p, rate, seed: noise(x, "white", p["level"], seed),
+    "brown_noise": lambda x, p, rate, seed: noise(x, "brown", p["level"], seed),
+    "pink_noise": lambda x, p, rate, seed: noise(x, "pink", p["level"], seed),
+    "reverb": lambda x, p, rate, seed: reverb(x, p["room_size"], rate),
+    "echo": lambda x, p, rate, seed: echo(x, p["delay_sec"], p["decay"], rate),
+    "gain": lambda x, p, rate, seed: x * p["level"],
+}
+
+
+def ranges_of(kind: str, override: dict[str, tuple[float, float]] | None = None) -> tuple[str, dict[str, tuple[float, float]]]:
+    """Function and parameter ranges of a registered augmentation; given ranges replace the registry's own."""
+    rows = [r for r in dims.AUGMENTATIONS if r[0] == kind]
+    if not rows:
+        raise ValueError(f"unknown augmentation {kind}")
+    return rows[0][1], {r[2]: (r[3], r[4]) for r in rows} | (override or {})
+
+
+def derived_ranges(pitch: tuple[float, float] | None = None, speed: tuple[float, float] | None = None, volume: tuple[float, float] | None = None, noise: tuple[float, float] | None = None) -> dict[str, dict[str, tuple[float, float]]]:
+    """Ranges of the counterparts from one range each: down is the mirror of up, coloured noise ten times the white."""
+    out: dict[str, dict[str, tuple[float, float]]] = {}
+    if pitch:
+        out |= {"pitch_up": {"n_steps": pitch}, "pitch_down": {"n_steps": (-pitch[1], -pitch[0])}}
+    for name, given, key in (("speed", speed, "rate"), ("volume", volume, "level")):
+        if given:
+            out |= {f"{name}_up": {key: given}, f"{name}_down": {key: (2 - given[1], 2 - given[0])}}
+    if noise:
+        out |= {"noise_white": {"level": noise}} | {f"noise_{c}": {"level": (10 * noise[0], 10 * noise[1])} for c in ("brown", "pink")}
+    return out
+
+
+def augment(x: np.ndarray, kind: str, rate: int, seed: int, override: dict[str, tuple[float, float]] | None = None) -> np.ndarray:
+    """A registered augmentation with parameters drawn from their ranges by the seed, clipped to -1..1."""
+    function, ranges = ranges_of(kind, override)
+    rng = np.random.default_rng([seed, 1])
+    drawn = {k: float(rng.uniform(low, high)) for k, (low, high) in sorted(ranges.items())}
+    return np.clip(AUGMENTERS[function](x, drawn, rate, seed), -1.0, 1.0)
 
 
 def stretch(x: np.ndarray, rate: float, size: int = 512) -> np.ndarray:
@@ -257,3 +336,46 @@ def voice_activity(samples: Column | str, rate: Column | str) -> Column:
         return pd.Series([[] if x is None else speech_segments(np.asarray(x, "f8"), int(r)) for x, r in zip(samples, rate)])
 
     return F.pandas_udf(run, "array<struct<start:double,end:double>>")(samples, rate)
+
+
+def augmented(versions: DataFrame, overrides: dict[str, dict[str, tuple[float, float]]] | None = None) -> DataFrame:
+    """Adds audio (WAV bytes) and error to rows of (samples, sample_rate, kind, seed): every version of a file in one pass of Arrow batches."""
+
+    def run(x: pd.Series, rate: pd.Series, kind: pd.Series, seed: pd.Series) -> pd.DataFrame:
+        out = []
+        for v, r, k, s in zip(x, rate, kind, seed):
+            try:
+                out.append((encode_wav(augment(np.asarray(v, "f8"), k, int(r), int(s), (overrides or {}).get(k)), int(r)), None))
+            except (ValueError, TypeError) as e:
+                out.append((None, f"augment-failed:{e}"))
+        return pd.DataFrame(out, columns=["audio", "error"])
+
+    made = F.pandas_udf(run, "audio binary, error string")("samples", "sample_rate", "kind", "seed")
+    return versions.withColumn("_made", made).select("*", "_made.audio", "_made.error").drop("_made", "samples")
+
+
+def cleaned(content: Column | str, **stages) -> Column:  # noqa: ANN003
+    """The cleaning chain over WAV bytes: (audio, sample_rate, error). Without a stage the bytes pass as they are."""
+
+    def run(content: pd.Series) -> pd.DataFrame:
+        out = []
+        for c in content:
+            w = decode_wav(c)
+            if w["error"] or not stages:
+                out.append((None if w["error"] else c, w["sample_rate"], w["error"]))
+                continue
+            x, rate = process(np.asarray(w["samples"], "f8"), w["sample_rate"], **stages)
+            out.append((encode_wav(x, rate), rate, None))
+        return pd.DataFrame(out, columns=["audio", "sample_rate", "error"])
+
+    return F.pandas_udf(run, "audio binary, sample_rate int, error string")(content)
+
+
+def chunk_audio(samples: Column | str, rate: Column | str, start: Column | str, end: Column | str, target: int = 16_000) -> Column:
+    """WAV bytes of the seconds from start to end, at the target rate, mono."""
+
+    def run(x: pd.Series, rate: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
+        cut = (None if v is None else np.asarray(v, "f8")[int(a * r) : int(b * r)] for v, r, a, b in zip(x, rate, start, end))
+        return pd.Series([None if v is None else encode_wav(resample(v, int(r), target), target) for v, r in zip(cut, rate)])
+
+    return F.pandas_udf(run, "binary")(samples, rate, start, end)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import dims
 from ..functions import sampling
 from ..operators import audio
 from .views import table
@@ -31,7 +32,34 @@ def wav_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return files.select("vec_id", F.length("content").alias("bytes"), audio.wav_decode("content").alias("w")).select("vec_id", "bytes", "w.sample_rate", "w.channels", "w.frames", "w.error")
 
 
+def _files(spark: SparkSession, d: str) -> DataFrame:
+    return _signals(spark, d).withColumn("content", audio.wav_encode(F.col("x"), F.lit(8000)))
+
+
+def cleaning_chain(spark: SparkSession, d: str) -> DataFrame:
+    """Standardised, trimmed, levelled and brought to one length."""
+    made = _files(spark, d).select("vec_id", audio.cleaned("content", trim=True, target_lufs=-16.0, target_seconds=0.01).alias("c"))
+    return made.select("vec_id", "c.sample_rate", F.length("c.audio").alias("bytes"), "c.error")
+
+
+def chunk_audio(spark: SparkSession, d: str) -> DataFrame:
+    """Chunks of ten samples' time, at twice the rate."""
+    parts = _signals(spark, d).select("vec_id", "x", F.explode(F.sequence(F.lit(0), F.lit(5))).alias("chunk_index"))
+    made = audio.chunk_audio(F.col("x"), F.lit(1000), F.col("chunk_index") * 0.01, (F.col("chunk_index") + 1) * 0.01, 2000)
+    return parts.select("vec_id", "chunk_index", F.length(made).alias("bytes"))
+
+
+def augment_audio(spark: SparkSession, d: str) -> DataFrame:
+    """Every registered augmentation of every signal as a file."""
+    kinds = sorted({a[0] for a in dims.AUGMENTATIONS})
+    versions = _signals(spark, d).select("vec_id", F.col("x").alias("samples"), F.lit(100).alias("sample_rate"), "seed", F.explode(F.array(*map(F.lit, kinds))).alias("kind"))
+    return audio.augmented(versions).select("vec_id", "kind", F.length("audio").alias("bytes"), "error")
+
+
 QUERIES = {
+    "cleaning_chain": cleaning_chain,
+    "chunk_audio": chunk_audio,
+    "augment_audio": augment_audio,
     "sig_noise_white": _simple("noise_white", 0.005, "seed"),
     "sig_noise_brown": _simple("noise_brown", 0.05, "seed"),
     "sig_noise_pink": _simple("noise_pink", 0.05, "seed"),

@@ -47,7 +47,7 @@ def sql_platform(host: str, column: int, other: str) -> str:
 
 def sql_absolute(h: str, base: str) -> str:
     root, page = rf"regexp_extract({base}, '^([^:]+://[^/?#]*)', 1)", rf"regexp_extract({base}, '^([^?#]*)', 1)"
-    return rf"case when starts_with({h}, 'http') then {h} when starts_with({h}, '//') then regexp_extract({base}, '^([^:]+:)', 1) || {h} when starts_with({h}, '/') then {root} || {h} when starts_with({h}, '?') then {page} || {h} when starts_with({h}, '#') then regexp_extract({base}, '^([^#]*)', 1) || {h} when {page} = {root} then {root} || '/' || {h} else regexp_replace({page}, '[^/]*$', '') || {h} end"
+    return rf"case when regexp_matches({h}, '^[A-Za-z][A-Za-z0-9+.-]*:') then {h} when starts_with({h}, '//') then regexp_extract({base}, '^([^:]+:)', 1) || {h} when starts_with({h}, '/') then {root} || {h} when starts_with({h}, '?') then {page} || {h} when starts_with({h}, '#') then regexp_extract({base}, '^([^#]*)', 1) || {h} when {page} = {root} then {root} || '/' || {h} else regexp_replace({page}, '[^/]*$', '') || {h} end"
 
 
 def sql_canonical(u: str) -> str:
@@ -175,7 +175,7 @@ BLOCK_PAGE = "concat('<p>Narasi: <a href=\"', raw_url, '\">s</a> Penjelasan <a h
 
 @query(f"""with p as (select page_id, {BLOCK_PAGE} as html from pages join (select ord, raw_url from {V('v_urls')}) v on v.ord = page_id),
 b as (select page_id, unnest(regexp_extract_all(regexp_extract(html, '(?is)Narasi(.*?)(?:Penjelasan|Kesimpulan|Hasil Periksa fakta)', 1), '<a[^>]+href=["'']([^"'']+)["'']', 1)) as u from p),
-f as (select page_id, {sql_canonical('trim(u)')} as video_url from b where regexp_matches(u, '{urls.VIDEO}'))
+f as (select page_id, {sql_canonical('trim(u)')} as video_url from b where regexp_matches(u, '{extract.SOURCE_VIDEO}'))
 select distinct page_id, video_url from f union select page_id, 'https://www.youtube.com/watch?v=aaaaaaaaaaa' from p where page_id not in (select page_id from f)
 union select page_id, 'https://' || regexp_extract(html, 'fb\\.watch/[^"''>\\s/]+/?') from p where contains(html, 'fb.watch/') and page_id not in (select page_id from f)""")
 def extract_preferred(spark, d):
@@ -491,9 +491,9 @@ def item_findings(spark, d):
     return validate.findings(view(spark, d, "v_items"))
 
 
-@query(f"with i as (select * from {V('v_items')} where idx % 2 = 0), k as (select idx, {KEY.format('text')} as k from i where trim(text) <> ''), f as (select k, min(idx) as first from k group by k) select cast(-1 as bigint) as index, 'error' as severity, 'quota-shortfall:' || count(*) || '/1000000' as reason from i union all ({_sql_findings(chr(39) + 'disinformasi' + chr(39))}) union all select idx, 'error', 'duplicate-text:matches-item-' || first from k join f using (k) where idx > first")
+@query(f"with i as (select * from {V('v_items')}), k as (select idx, {KEY.format('text')} as k from i where trim(text) <> ''), f as (select k, min(idx) as first from k group by k) select cast(-1 as bigint) as index, 'error' as severity, 'quota-shortfall:' || count(*) || '/1000000' as reason from i union all ({_sql_findings(chr(39) + 'disinformasi' + chr(39))}) union all select idx, 'error', 'duplicate-text:matches-item-' || first from k join f using (k) where idx > first")
 def batch_findings(spark, d):
-    return validate.batch_findings(view(spark, d, "v_items").where("idx % 2 = 0"), "disinformasi", 1_000_000)
+    return validate.batch_findings(view(spark, d, "v_items"), "disinformasi", 1_000_000)
 
 
 @query(f"with i as (select * from {V('v_items')}), x as (select 'label' as facet, label as value from i union all select 'duration_hint', duration_hint from i union all select 'control_token', unnest(control_tokens_used) from i) select facet, value, n, case when facet = 'label' then case when n >= 260 then 'OK' else 'LOW' end else '' end as state from (select facet, value, count(*) as n from x group by facet, value)")
@@ -501,9 +501,9 @@ def corpus_report(spark, d):
     return validate.corpus_report(view(spark, d, "v_items"), 260)
 
 
-@query("select conv_id, string_agg((turn + 1) || '. ' || substring(text, 1, 80), chr(10) order by turn) as block from conversations group by conv_id")
+@query("select conv_id, string_agg((turn + 1) || '. ' || text, chr(10) order by turn) as block from conversations group by conv_id")
 def prompt_context(spark, d):
-    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 80).alias("t")))).alias("c"))
+    c = table(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.col("text").alias("t")))).alias("c"))
     return c.select("conv_id", F.array_join(F.transform("c", lambda x: F.concat((x["turn"] + 1).cast("string"), F.lit(". "), x["t"])), "\n").alias("block"))
 
 

@@ -49,7 +49,7 @@ FROM events
 """,
     "v_items": """
 SELECT doc_id AS idx,
-  CASE WHEN doc_id % 29 = 0 THEN '' WHEN doc_id % 31 = 0 THEN concat(substring(text,1,40), ' 中文') WHEN doc_id % 7 = 0 THEN concat(substring(text,1,60), ' [sigh] [foo]') ELSE substring(text,1,80) END AS text,
+  CASE WHEN doc_id % 29 = 0 THEN '' WHEN doc_id % 31 = 0 THEN concat(text, ' 中文') WHEN doc_id % 7 = 0 THEN concat(text, ' [sigh] [foo]') ELSE text END AS text,
   CASE doc_id % 4 WHEN 0 THEN 'disinformasi' WHEN 1 THEN 'fitnah' WHEN 2 THEN 'ujaran_kebencian' ELSE 'neutral' END AS label,
   CASE WHEN doc_id % 23 = 0 THEN '  ' ELSE concat('persona ', source) END AS persona,
   concat('medium ', lang) AS medium,

@@ -22,7 +22,8 @@ def strings(fields: list[str]) -> StructType:
 def read_csv(spark: SparkSession, path: str, fields: list[str] | None = None) -> DataFrame:
     """A CSV with a header, every column a string; blanks come as empty strings."""
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("emptyValue", "").option("nullValue", "\u0000")
-    return (reader.schema(strings(fields)) if fields else reader.option("inferSchema", False)).csv(path)
+    found = (reader.schema(strings(fields)) if fields else reader.option("inferSchema", False)).csv(path)
+    return found.select([F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) for c in found.columns])
 
 
 def write_csv(frame: DataFrame, path: str, fields: list[str], mode: str = "overwrite") -> None:

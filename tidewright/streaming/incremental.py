@@ -43,3 +43,15 @@ def event_windows(stream: DataFrame, time: str = "ts", delay: str = "10 minutes"
     """Counts and sums per event type and tumbling window, late events within the delay included."""
     stream = stream.withColumn(time, F.col(time).cast("timestamp"))  # zoneless times are read in the session's zone
     return stream.withWatermark(time, delay).groupBy(F.window(time, size).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
+
+
+def sliding(stream: DataFrame, time: str = "ts", size: str = "1 hour", slide: str = "30 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Counts and sums per event type and sliding window."""
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return stream.withWatermark(time, delay).groupBy(F.window(time, size, slide).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("w.start").alias("start"), "event_type", "n", "total")
+
+
+def sessions(stream: DataFrame, time: str = "ts", gap: str = "5 minutes", delay: str = "10 minutes") -> DataFrame:
+    """Counts per event type and session: events that follow each other within the gap."""
+    stream = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return stream.withWatermark(time, delay).groupBy(F.session_window(time, gap).alias("w"), "event_type").agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), "event_type", "n")
