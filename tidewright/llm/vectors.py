@@ -32,9 +32,9 @@ from .anchors import mix
 from .common import materialize
 from .graph import components
 
-COSINE, PROJECTIONS, WINDOW, RECALL, SLAB, SEED = 0.98, 24, 1.5, 0.9999999, 1024, 5
+COSINE, PROJECTIONS, WINDOW, RECALL, SLAB, SEED = 0.98, 24, 1.5, 0.9999999, 2048, 5
 #: Width of a cell in standard deviations of a projected difference at the threshold; entries that a bucket should have; least m.
-CELL, BUCKET, LEAST = 6.0, 1024, 3
+CELL, BUCKET, LEAST = 10.0, 1024, 3
 
 
 def needed_collisions(projections: int, window: float, recall: float) -> int:
@@ -121,8 +121,9 @@ def tree(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         root = after
 
 
-def _deal(cosine: float):  # noqa: ANN202
-    """A row for every table of an entry: its bucket, the entry's keys of all tables, and the vector's bytes."""
+def _deal(cosine: float, kind: str | None = None):  # noqa: ANN202
+    """A row for every table of an entry: its bucket; with a kind of number also the entry, its keys of all tables, and the vector's bytes."""
+    names = ["group", "tab", "key", *(["node", "n", "keys", "raw"] if kind else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -130,10 +131,12 @@ def _deal(cosine: float):  # noqa: ANN202
             shapes = [(*table_shape(s, cosine), len(v)) for s, v in zip(size, raw)]
             for shape in sorted(set(shapes)):
                 own = [i for i, found in enumerate(shapes) if found == shape]
-                keys = bucket_keys(unit(np.array([raw[i] for i in own], "f8")), *shape[:2], cosine)
-                packed, tables = [k.tobytes() for k in keys], shape[1]
-                for t in range(tables):
-                    yield pa.RecordBatch.from_arrays([pa.array([group[i] for i in own]), pa.array([t] * len(own), pa.int32()), pa.array(keys[:, t]), pa.array([node[i] for i in own], pa.int64()), pa.array([n[i] for i in own], pa.int64()), pa.array(packed, pa.binary())], names=["group", "tab", "key", "node", "n", "keys"])
+                vectors = np.array([raw[i] for i in own], "f8")
+                keys = bucket_keys(unit(vectors), *shape[:2], cosine)
+                groups = pa.array([group[i] for i in own])
+                rest = [pa.array([node[i] for i in own], pa.int64()), pa.array([n[i] for i in own], pa.int64()), pa.array([k.tobytes() for k in keys], pa.binary()), pa.array([v.tobytes() for v in vectors.astype(kind)], pa.binary())] if kind else []
+                for t in range(shape[1]):
+                    yield pa.RecordBatch.from_arrays([groups, pa.array([t] * len(own), pa.int32()), pa.array(keys[:, t]), *rest], names=names)
 
     return run
 
@@ -187,22 +190,16 @@ def near_duplicates(rows: DataFrame, cosine: float = COSINE, slab: int = SLAB) -
     units = materialize(entries, "vector-entries")
 
     sizes = units.groupBy("group").agg(F.count("*").alias("size"))
-    dealt = units.join(sizes, "group").select("node", "n", "group", "size", "embedding").mapInArrow(_deal(cosine), "group string, tab int, key int, node long, n long, keys binary")
-    dealt = materialize(dealt, "vector-buckets")
-    met = dealt.groupBy("group", "tab", "key").agg(F.count("*").alias("rows")).where("rows > 1")
-    blocks = F.when(F.col("rows") > slab, F.ceil(F.col("rows") / max(slab // 2, 1))).otherwise(1).cast("int")
-    placed = dealt.join(met, ["group", "tab", "key"]).withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    placed = placed.select("group", "tab", "key", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.expr("if(own > other, 1, 0)").alias("side"), "node", "n", "keys")
+    sized = units.join(sizes, "group").select("node", "n", "group", "size", "embedding")
     kind = "<f4" if dict(rows.dtypes)["embedding"] == "array<float>" else "<f8"
-
-    def raw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.array(v, kind).tobytes() for v in batch.column(1).to_pylist()], pa.binary())], names=["node", "raw"])
-
-    vectors = units.select("node", "embedding").mapInArrow(raw, "node long, raw binary")
-    placed = placed.join(vectors, "node").select("group", "tab", "key", "i", "j", "side", "node", "n", "keys", "raw")
-    placed = placed.repartition("group", "tab", "key", "i", "j").sortWithinPartitions("group", "tab", "key", "i", "j", "side", "node")
+    bucket = ["group", "tab", "key"]
+    large = sized.mapInArrow(_deal(cosine), "group string, tab int, key int").groupBy(*bucket).agg(F.count("*").alias("rows"))
+    large = materialize(large.where(F.col("rows") > slab), "large-buckets")  # no hint: small tables are broadcast, others joined
+    dealt = sized.mapInArrow(_deal(cosine, kind), "group string, tab int, key int, node long, n long, keys binary, raw binary").join(large, bucket, "left")
+    placed = dealt.withColumn("blocks", F.coalesce(F.ceil(F.col("rows") / max(slab // 2, 1)), F.lit(1)).cast("int")).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    placed = placed.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    placed = placed.select(*bucket, F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), F.expr("if(own > other, 1, 0)").alias("side"), "node", "n", "keys", "raw")
+    placed = placed.repartition(*bucket, "i", "j").sortWithinPartitions(*bucket, "i", "j", "side", "node")
     found = materialize(placed.mapInArrow(_compare(cosine, kind), "a long, n long, b long"), "vector-links")
 
     counts = found.where("n is not null").groupBy("a").agg(F.sum("n").alias("links"))
