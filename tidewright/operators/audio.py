@@ -322,6 +322,7 @@ def transform(samples: Column, kind: str, *arguments: Column) -> Column:
         "trim": lambda x, rate: trim_silence(x, int(rate)),
         "loudness": lambda x, rate: normalize_loudness(x, int(rate)),
         "denoise": denoise,
+        "echo": lambda x, samples, decay: echo(x, 1.0, decay, int(samples)),
         "resample": lambda x, a, b: resample(x, int(a), int(b)),
     }[kind]
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import dims
 from ..functions import extract, sampling, signal, text, urls
-from ..operators import gates, labels, validate, windows
+from ..operators import audio, gates, labels, validate, windows
 from .views import VIEWS, table, view
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -595,7 +595,8 @@ def sig_reverb(spark, d):
 
 @query(_sql_samples("list_transform(x, lambda v, i: list_sum(list_transform(range(0, (i - 1) // 10 + 1), lambda k: pow(0.5, k) * x[i - k * 10])))"))
 def sig_echo(spark, d):
-    return _samples(spark, d, lambda x: signal.echo(x, 10, 0.5))
+    """A feedback delay is a recursion: an Arrow function, linear in the signal."""
+    return _samples(spark, d, lambda x: audio.transform(x, "echo", F.lit(10), F.lit(0.5)))
 
 
 @query(f"select vec_id, round(list_max(list_transform(x, lambda v: abs(v))), 6) as peak, round(sqrt(list_sum(list_transform(x, lambda v: v * v)) / len(x)), 6) as rms, len(list_filter(x, lambda v: abs(v) >= 0.999)) / len(x) as clip_ratio, len(x) / 16000.0::double as duration from {SIG}")
