@@ -4,6 +4,7 @@ import heapq
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,6 +146,26 @@ def test_suffix_array_and_small_groups(spark):
         assert keys == sorted(keys)
 
 
+def test_contents_with_company_are_told_across_batches():
+    """Of each k-gram hash the first two contents of a partition are left to be counted (kind 0), further ones are not (kind 2)."""
+    rng = random.Random(4)
+    rows = sorted((0, h, w, w, rng.randint(0, 3), 0, rng.randint(0, 9), 100) for h in range(40) for w in range(rng.choice([1, 2, 3, 30])) for _ in range(rng.choice([1, 1, 2])))
+    rows.sort(key=lambda r: (r[1:4], r[4:]))
+    names, types = "kind h w1 w2 doc th start size".split(), [pa.int8(), *[pa.int64()] * 7]
+    contents = {}
+    for r in rows:
+        contents.setdefault(r[1], {}).setdefault(r[2], r)
+    expected = sorted((0 if rank < 2 else 2, h, r[4], r[6]) for h, own in contents.items() for rank, r in enumerate(own.values()))
+    for size in (1, 2, 3, 7, len(rows)):
+        batches = [pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + size]), types)], names=names) for k in range(0, len(rows), size)]
+        out = [r for b in suffixes._meet(iter(batches)) for r in b.to_pylist()]
+        assert sorted((r["kind"], r["h"], r["doc"], r["start"]) for r in out if r["kind"] != 1) == expected
+    own = sorted(rng.choice([k, 2 * k]) for k in range(60))
+    for size in (1, 2, 3, 7, 60):
+        batches = [pa.RecordBatch.from_pydict({"h": own[k : k + size], "at": list(range(k, min(k + size, 60)))}) for k in range(0, 60, size)]
+        assert [r["at"] for b in suffixes._with_company(iter(batches)) for r in b.to_pylist()] == [i for i, h in enumerate(own) if own.count(h) > 1]
+
+
 def by_key(docs, **settings):
     """What is left of each row: (doc_id, text) to (kept bytes, runs)."""
     return {(r["doc_id"], r["text"]): suffixes.cut(r["text"].encode(), r["_spans"]) for r in suffixes.with_spans(docs, **settings).where("text is not null").collect()}

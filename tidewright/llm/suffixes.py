@@ -5,7 +5,8 @@ A byte goes if a `LENGTH`-byte string that covers it also starts earlier: in a s
 1. Anchors (see anchors.py) split every text into regions; equal windows lie in regions of one k-gram hash.
    A block first settles its own equal regions, so a hot passage leaves a block once.
 2. Equal regions meet by k-gram hash and a 128-bit hash of their bytes: all but the earliest go whole, as each of their windows starts
-   earlier there. Of k-gram hashes with several contents, one region of each content is asked for as text.
+   earlier there. Of k-gram hashes with several contents, one region of each content is asked for as text. Contents beyond the second
+   of a k-gram hash in a partition are known to have company, so at most two a partition are counted by hash: a hot one is spread.
 3. The asked regions meet by k-gram hash. A suffix array is built over blocks of whole groups by two-stage sorting: only suffixes smaller
    than their successors are sorted directly, the others are induced by scanning the buckets; common prefixes of adjacent
    suffixes give the classes of equal windows, and in each class all but the earliest are removed.
@@ -30,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .anchors import GRAM, LENGTH, SEGMENT, changes, contents, joined, regions
-from .common import blocks, fresh, materialize, read_table
+from .common import blocks, fresh, materialize, read_table, release
 
 SEPARATOR = 0xFF  # in no UTF-8 text
 GROUP, BLOCK_BYTES, NULL_ID = 2_000, 2_000_000, -(1 << 63)
@@ -229,8 +230,10 @@ def _regions(length: int):  # noqa: ANN202
 
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by content and place. Gives spans (kind 1) and the first region of each content (kind 0). Holds one batch and one row."""
+    """Rows sorted by content and place. Gives spans (kind 1) and the first region of each content: of the first two contents of an h kind 0,
+    of further ones kind 2. Holds one batch and one row."""
     tail: tuple = ()  # the first row of the content that the last batch ended with
+    seen = 0  # contents of its h so far
     for batch in batches:
         kind, h, w1, w2, doc, th, start, size = (batch.column(i).to_numpy() for i in range(8))
         if not len(h):
@@ -244,11 +247,36 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d, t, a, b = joined(tuple(np.concatenate([x[late], y]) for x, y in ((doc, spans[0]), (th, spans[1]))), np.concatenate([start[late], spans[2]]), np.concatenate([(start + size)[late], spans[2] + spans[3]]))
         yield _batch("kind h doc th start stop", np.ones(len(d), "i1"), np.zeros(len(d), "i8"), d, t, a, b)
         lead[: len(tail) and 1] = False  # given before
-        yield _batch("kind h doc th start stop", np.zeros(int(lead.sum()), "i1"), h[lead], doc[lead], th[lead], start[lead], (start + size)[lead])
+        own = h[lead]
+        if len(own):
+            new, along = changes(own), np.arange(len(own))
+            new[0] = not tail or own[0] != tail[0]
+            rank = along - np.maximum.accumulate(np.where(new, along, 0)) + np.where(np.cumsum(new) == 0, seen, 0)
+            seen = int(rank[-1]) + 1
+            yield _batch("kind h doc th start stop", np.where(rank < 2, 0, 2).astype("i1"), own, doc[lead], th[lead], start[lead], (start + size)[lead])
         if len(h):
             tail = tuple(x[at[-1]] for x in (h, w1, w2, doc, th, start, size))
 
 
+def _with_company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows sorted by h, those whose h another row has. Holds one batch and one row."""
+    release()
+    tail: list[np.ndarray] = []  # the last row so far
+    given = False
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        columns = [c.to_numpy() for c in batch.columns]
+        if tail:
+            columns = [np.concatenate(x) for x in zip(tail, columns)]
+        new = changes(columns[0])
+        keep = ~new | ~np.append(new[1:], True)
+        tail, last = [c[-1:] for c in columns], bool(keep[-1])
+        keep[0] &= not given
+        given = last
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=batch.schema.names)
+
+
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes of asked regions: doc, th, text, asked (array of h, start, stop). A long text gives many small batches."""
     names, kinds = ["h", "doc", "th", "start", "part"], (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
@@ -331,9 +359,9 @@ def removed_spans(docs: DataFrame, length: int = LENGTH, group: int = GROUP, blo
     found = keyed.mapInArrow(_regions(length), MET).repartition("h", "w1", "w2").sortWithinPartitions("h", "w1", "w2", "kind", "doc", "th", "start")
     met = materialize(found.mapInArrow(_meet, "kind byte, h long, doc long, th long, start long, stop long"), "regions")
     spans = met.where("kind = 1").select("doc", "th", "start", "stop")
-    leads = met.where("kind = 0").select("h", "doc", "th", "start", "stop")
-    plural = leads.groupBy("h").count().where("count > 1").select("h")
-    asked = leads.join(plural, "h").groupBy("doc", "th").agg(F.collect_list(F.struct("h", "start", "stop")).alias("asked"))
+    firsts = met.where("kind = 0").select("h", "doc", "th", "start", "stop").repartition("h").sortWithinPartitions("h")
+    plural = firsts.mapInArrow(_with_company, firsts.schema).union(met.where("kind = 2").select(firsts.columns))
+    asked = plural.groupBy("doc", "th").agg(F.collect_list(F.struct("h", "start", "stop")).alias("asked"))
     texts = keyed.join(asked, ["doc", "th"]).select("doc", "th", "text", "asked")
     parts = materialize(texts.mapInArrow(_texts, PARTS), "region-texts")
     for gram in [g for g in GRAMS if g < length] + [length]:
