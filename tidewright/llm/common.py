@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 #: Characters of text that a Python worker handles at once; a longer text makes a block of its own.
 BLOCK_CHARS = 8_000_000
 
+#: Spark's setting that deletes a query's shuffle files as it ends.
+CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,10 +44,18 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Writes df to the shared folder and reads it back: lineage ends there and a lost executor costs no recomputation."""
+    """Writes df to the shared folder and reads it back: lineage ends there and a lost executor costs no recomputation.
+
+    The shuffle files behind it are of no more use then, so Spark is told to delete them as the write ends, not when the driver collects its garbage.
+    """
     spark = df.sparkSession
     path = shared_folder(spark, purpose)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN)
+    spark.conf.set(CLEAN, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
