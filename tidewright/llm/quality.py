@@ -16,33 +16,57 @@ whatever their names, and all repeated rows.
 
 from __future__ import annotations
 
+import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import blocks, held_out, map_blocks, materialize, read_table, spread
+from .common import MEMOS, blocks, held_out, map_blocks, materialize, read_table, spread
 
 WORD = re.compile("[^ \u0009-\u000d]+")
-SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 100_000
+SAMPLE, BUCKETS, DIM, EPOCHS, RATE, SEED, GRAMS, MEMO = 3000, 1 << 18, 8, 8, 0.5, 11, (3, 5), 300_000
+TOGETHER = 1_000_000  # characters of text scored at once
 SAMPLE_BYTES = 64_000_000
 AGAIN = " again"  # no word: it has a space
 THRESHOLD = 0.7
 
 
-def features_of(word: str, buckets: int = BUCKETS, grams: tuple[int, int] = GRAMS) -> list[int]:
-    """Hashed features of a word: itself, and its character n-grams with the ends marked."""
-    h, mark = xxhash.xxh32_intdigest, f"<{word}>"
-    out = [h("w" + word) % buckets]
-    if word is not AGAIN:
-        for n in range(grams[0], grams[1] + 1):
-            out += [h(mark[i : i + n]) % buckets for i in range(len(mark) - n + 1)]
-    return out
+FACTOR, LAST = np.uint64(0x9E3779B97F4A7C15), np.uint64(32)
+
+
+def bucket(x: np.ndarray, salt: int, buckets: int) -> np.ndarray:
+    """A bucket for each 64-bit number."""
+    x = (x + np.uint64(salt)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0x94D049BB133111EB)
+    return (((x >> LAST) * np.uint64(buckets)) >> LAST).astype("i8")
+
+
+def features_of(words: list[str], buckets: int = BUCKETS, grams: tuple[int, int] = GRAMS) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed features of words, and which word each is of: the word itself, and its character n-grams with the ends marked."""
+    sizes = np.fromiter(map(len, words), "i8", len(words)) + 2
+    codes = np.frombuffer("".join([f"<{w}>" for w in words]).encode("utf-32-le", "surrogatepass"), "<u4").astype("u8")
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(words)), sizes)
+    left = ends[owner] - np.arange(len(codes))  # characters up to the word's end
+    powers = np.cumprod(np.full(int(sizes.max(initial=1)), FACTOR))
+    whole = np.add.reduceat(codes * powers[left - 1], ends - sizes) if words else codes
+    ids, of = [bucket(whole, 1, buckets)], [np.arange(len(words))]
+    plain = np.array([w != AGAIN for w in words], bool)[owner] if AGAIN in words else None
+    rolled = codes
+    for n in range(2, grams[1] + 1):
+        rolled = rolled[:-1] * FACTOR + codes[n - 1 :]
+        if n >= grams[0]:
+            fits = left[: len(rolled)] >= n
+            at = np.flatnonzero(fits if plain is None else fits & plain[: len(rolled)])
+            ids.append(bucket(rolled[at], n, buckets))
+            of.append(owner[at])
+    return np.concatenate(ids), np.concatenate(of)
 
 
 def feature_number(length: int, grams: tuple[int, int] = GRAMS) -> int:
@@ -66,45 +90,72 @@ def feature_counts(docs: DataFrame, keep: list[str]) -> DataFrame:
     """The columns keep, and the document's feature numbers (ascending, little-endian i4 bytes) and counts (f4 bytes)."""
 
     def run(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        ids, counts, memo = [], [], {}
+        ids, counts = [], []
         for text in texts:
             tokens = tokens_of(text)
-            parts = [memo[w] if w in memo else memo.setdefault(w, np.array(features_of(w), "<i4")) for w in tokens]
-            every = np.concatenate(parts) if parts else np.zeros(0, "<i4")
+            every, of = features_of(list(tokens))
             own, at = np.unique(every, return_inverse=True)
             ids.append(own.astype("<i4").tobytes())
-            counts.append(np.bincount(at, np.repeat(list(tokens.values()), [len(p) for p in parts]) if parts else None, len(own)).astype("<f4").tobytes())
+            counts.append(np.bincount(at, np.array(list(tokens.values()), "f8")[of], len(own)).astype("<f4").tobytes())
         return {c: batch.column(batch.schema.get_field_index(c)) for c in keep} | {"ids": ids, "counts": counts}
 
     kinds = dict(docs.dtypes)
     return map_blocks(docs.select(*keep, "text"), run, ", ".join(f"{c} {kinds[c]}" for c in keep) + ", ids binary, counts binary")
 
 
+#: Words' logits by the key of the one model that a worker scores with.
+_logits: dict[str, dict[str, float]] = {}
+MEMOS["quality"] = _logits.clear
+
+
 class Model:
     """Collapsed model: the logit that each feature adds, and the bias."""
 
     def __init__(self, logits: np.ndarray, bias: float):
         self.logits, self.bias = logits, bias
-        self.fresh: dict[str, float] = {}  # words' logits, and those of the generation before
-        self.stale: dict[str, float] = {}
-
-    def __getstate__(self) -> dict:
-        return {"logits": self.logits, "bias": self.bias, "fresh": {}, "stale": {}}
+        self.key = uuid.uuid4().hex
+
+    def words(self, words: list[str]) -> list[float]:
+        """The sum of each word's features' logits."""
+        ids, of = features_of(words, len(self.logits))
+        return np.bincount(of, self.logits[ids], len(words)).tolist()
+
+    def scores(self, texts: list[str]) -> list[float]:
+        """A text's words are summed exactly: their order makes no difference."""
+        out: list[float] = []
+        at = 0
+        while at < len(texts):  # as many texts together as bound the new words
+            end, size = at + 1, len(texts[at])
+            while end < len(texts) and size + len(texts[end]) <= TOGETHER:
+                size += len(texts[end])
+                end += 1
+            out += self._scores([WORD.findall(t) for t in texts[at:end]])
+            at = end
+        return out
+
+    def _scores(self, cuts: list[list[str]]) -> list[float]:
+        every = set().union(*cuts, (AGAIN,))
+        known = _logits.get(self.key, {})
+        if len(known) + len(every.difference(known)) > MEMO:  # the words of this call are in use, others go
+            known = {}
+        if _logits.get(self.key) is not known:
+            _logits.clear()
+            _logits[self.key] = known
+        fresh = list(every.difference(known))
+        for k in range(0, len(fresh), 20_000):
+            part = fresh[k : k + 20_000]
+            known.update(zip(part, self.words(part)))
+        out = []
+        for words in cuts:
+            sizes = list(map(len, words))
+            again = sum(map(str.__eq__, words, words[1:]))
+            total = math.fsum(map(known.__getitem__, words)) + again * known[AGAIN]
+            n = sum(map(LENGTHS.__getitem__, sizes)) if max(sizes, default=0) < len(LENGTHS) else sum(map(feature_number, sizes))
+            out.append(float(1 / (1 + math.exp(-min(max(total / max(n + again, 1) + self.bias, -40.0), 40.0)))))
+        return out
 
     def score(self, text: str) -> float:
-        total, n, fresh, stale, lengths = 0.0, 0, self.fresh, self.stale, LENGTHS
-        for word, k in sorted(tokens_of(text).items()):  # one order of summation whatever the text's
-            known = fresh.get(word)
-            if known is None:
-                known = stale.get(word)
-                if known is None:
-                    known = float(self.logits[features_of(word, len(self.logits))].sum())
-                fresh[word] = known
-            total += k * known
-            n += k * (1 if word is AGAIN else lengths[len(word)] if len(word) < len(lengths) else feature_number(len(word)))
-        if len(fresh) > MEMO:  # words that come again stay, rare ones go
-            self.fresh, self.stale = {}, fresh
-        return float(1 / (1 + np.exp(-np.clip(total / max(n, 1) + self.bias, -40, 40))))
+        return self.scores([text])[0]
 
 
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], buckets: int = BUCKETS, dim: int = DIM, epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
@@ -162,10 +213,10 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
     shared = docs.sparkSession.sparkContext.broadcast(model)  # one number per bucket
 
     def run(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        return {"doc_id": batch.column(0), "held_out": batch.column(1), "score": [shared.value.score(t) for t in texts]}
+        return {"doc_id": batch.column(0), "held_out": batch.column(1), "score": shared.value.scores(texts)}
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").alias("text"))
-    return map_blocks(own, run, "doc_id long, held_out boolean, score double").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    return map_blocks(own, run, "doc_id long, held_out boolean, score double", memo="quality").withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
 def op2_query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +229,7 @@ def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, texts in blocks(batches):
-            yield batch.filter(pa.array([shared.value.score(t) >= threshold for t in texts], pa.bool_()))
+        for batch, texts in blocks(batches, memo="quality"):
+            yield batch.filter(pa.array([x >= threshold for x in shared.value.scores(texts)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
