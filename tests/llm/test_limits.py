@@ -1,5 +1,7 @@
 """Work that moved off the driver or was made cheaper: same results by plainer ways."""
 
+import os
+
 import numpy as np
 
 from tidewright.llm import quality
@@ -33,3 +35,11 @@ def test_scores_are_the_plain_sum_in_any_order_and_beyond_the_memo(monkeypatch):
         other = quality.Model(-model.logits, -0.2)  # another model in the same process has words of its own
         assert np.allclose(np.add(other.scores(texts), found), 1)
     assert model.scores(["b a c d"]) == model.scores(["d c a b"])
+
+
+def test_a_task_trains_and_not_the_driver(spark, monkeypatch):
+    docs = spark.createDataFrame([(4, "some words"), (6, "other words")], "doc_id long, text string")
+    labels = spark.createDataFrame([(4, 1), (6, 0)], "doc_id long, quality int")
+    monkeypatch.setattr(quality, "train", lambda rows, **settings: quality.Model(np.full(4, float(len(rows))), float(os.getpid())))
+    model = quality.fit(docs, labels)
+    assert model.bias != os.getpid() and model.logits.tolist() == [2.0] * 4

@@ -6,7 +6,7 @@ to the one before it also gives a token of its own, so that stuttering text is s
 averaging and layer are linear, scoring sums one precomputed logit per word.
 
 Training uses at most `sample` labelled rows outside the held-out fold, in the order of a hash of their ids, and of them as many as
-have SAMPLE_BYTES of counted features; these are counted on the executors. Every document is scored whole.
+have SAMPLE_BYTES of counted features; these are counted on the executors, and one task trains on them. Every document is scored whole.
 
 A null or empty text has no features: its score is the model's prior alone. Null labels are no labels; of several labels
 for an id the largest counts. Null doc_ids are scored. Repeated rows are scored again; without labels, or with one
@@ -203,9 +203,15 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "quality", sample: int
             break
         small.append(doc_id)
     rows = rows.where(F.col("doc_id").isin(small)) if room < 0 else rows
-    found = sorted(((r["doc_id"], bytes(r["ids"]), r["y"], bytes(r["counts"])) for r in rows.collect()), key=lambda r: r[:2])
-    order = [(np.frombuffer(i, "<i4"), np.frombuffer(c, "<f4"), y) for _, i, y, c in found]
-    return train(order, **settings)
+
+    def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[:2])
+        model = train([(np.frombuffer(i, "<i4"), np.frombuffer(c, "<f4"), y) for _, i, y, c in found], **settings)
+        yield pa.record_batch([pa.array([model.logits.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], names=["logits", "bias"])
+
+    # one task trains, of SAMPLE_BYTES at most: the driver gets the model alone
+    made = rows.select("doc_id", "ids", "y", "counts").coalesce(1).mapInArrow(trained, "logits binary, bias double").first()
+    return Model(np.frombuffer(bytes(made["logits"]), "f8"), made["bias"]) if made else train([], **settings)
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
