@@ -4,7 +4,8 @@ import os
 
 import numpy as np
 
-from tidewright.llm import quality
+from tidewright.llm import pieces, quality
+from tidewright.llm.common import vocabulary
 
 WORDS = ["a", "ab", "the", "été", "日本語", "\ud800x", quality.AGAIN, "x" * 5000, "ab"]
 
@@ -43,3 +44,23 @@ def test_a_task_trains_and_not_the_driver(spark, monkeypatch):
     monkeypatch.setattr(quality, "train", lambda rows, **settings: quality.Model(np.full(4, float(len(rows))), float(os.getpid())))
     model = quality.fit(docs, labels)
     assert model.bias != os.getpid() and model.logits.tolist() == [2.0] * 4
+
+
+def test_agendas_look_at_new_neighbours_only():
+    encoder = pieces.PieceEncoder(vocabulary("piece_bpe_32k.model"))
+    chunks = ["▁" + "international" * 3, "▁the", "▁unbelievable"]
+    plain, looked, merge = encoder.agenda(chunks, [0, 0, 0], 0.0), [], encoder.table.merge
+    encoder.table.merge = lambda left, right: looked.append(len(left)) or merge(left, right)
+    taken = []
+    assert encoder.agenda(chunks, [0, 0, 0], 0.0, taken) == plain
+    merges = sum(len(rows) for rows, _ in taken)
+    assert merges > 20 and sum(looked) <= sum(len(c) - 1 for c in chunks) + 2 * merges
+
+
+def test_byte_pieces_decode_from_a_table():
+    encoder = pieces.PieceEncoder(vocabulary("piece_bpe_32k.model"), 0.0)
+    t, text = encoder.table, "a▁b \U0001f600\n\0 日本"
+    ids = np.frombuffer(encoder.encode([1], [text])[0], "<u4")
+    assert encoder.decode(ids) == text and b"".join(t.raw[ids]).decode() == " " + text
+    odd = sorted(t.empty) + [t.byte[0xFF], t.byte[0x41]]  # control pieces give nothing, a stray byte a replacement character
+    assert encoder.decode(np.array(odd)) == "\ufffdA"

@@ -82,9 +82,10 @@ class PieceTable:
         self.text = [p.replace(SPACE, " ") for p in self.pieces]
         self.spelled = np.array(self.text, object)
         self.byte_of = {i: b for b, i in self.byte.items()}
+        self.empty = special - self.byte_of.keys()
+        self.raw = np.array([bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.empty else x.encode() for i, x in enumerate(self.text)], object)
         self.is_byte = np.zeros(n, bool)
         self.is_byte[list(self.byte_of)] = True
-        self.empty = {i for i in special if i not in self.byte_of}
 
     def _slot(self, key: int) -> int:
         return ((key * 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF) >> (64 - self.bits)
@@ -166,45 +167,55 @@ class PieceEncoder:
         start[np.repeat([not c for c in chunks], count)] = -1 - ord(SPACE)
         width = int(count.max())
         column = np.arange(len(codes)) - np.repeat(np.cumsum(count) - count, count)
-        sym = np.full((len(chunks), width), -(1 << 30), "i4")
+        gone = -(1 << 30)
+        sym = np.full((len(chunks), width), gone, "i4")
         sym[np.repeat(np.arange(len(chunks)), count), column] = start
-        offset = np.tile(np.arange(width, dtype="i4"), (len(chunks), 1))
+        # a symbol stays in the column of its first character; after and before are its neighbours' columns
+        flat, score = sym.ravel(), np.full((len(chunks), width), -np.inf, "f4")
+        pair, value = np.full(sym.size, -1, "i4"), score.ravel()
+        after, before = (np.tile(np.arange(k, width + k, dtype="i4"), len(chunks)) for k in (1, -1))
         key = np.array(keys, "u8")
+
+        def weigh(row: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+            """Puts the candidates of neighbours in columns left and right on the agenda."""
+            at = row * width + left
+            merged = t.merge(flat[at], flat[row * width + right])
+            found = np.flatnonzero(merged >= 0)
+            if rate and found.size:
+                found = found[~skips(key[row[found]], left[found], merged[found], rate)]
+            pair[at[found]] = merged = merged[found]
+            value[at[found]] = t.scores[merged]
+
+        row, left = np.nonzero(np.arange(1, width) < count[:, None])
+        weigh(row, left, left + 1)
         live = np.flatnonzero(count > 1)
         while live.size:
-            wide = int(count[live].max())
-            s, o = sym[live, :wide], offset[live, :wide]
-            flat = t.merge(s[:, :-1].ravel(), s[:, 1:].ravel())
-            merged = flat.reshape(len(live), wide - 1)
-            at = np.flatnonzero(flat >= 0)
-            if rate and at.size:
-                at = at[~skips(key[live[at // (wide - 1)]], o[:, :-1].ravel()[at], flat[at], rate)]
-            score = np.full(flat.shape, -np.inf, "f4")
-            score[at] = t.scores[flat[at]]
-            score = score.reshape(merged.shape)
-            best = score.argmax(axis=1)
-            rows = np.arange(len(live))
-            hit = score[rows, best] > -np.inf
-            live, best, merged, s, o = live[hit], best[hit], merged[hit], s[hit], o[hit]
+            own = score[live]
+            best = own.argmax(axis=1)
+            hit = own[np.arange(len(live)), best] > -np.inf
+            live, best = live[hit], best[hit]
             if not live.size:
                 break
-            rows = np.arange(len(live))
+            base = live * width
+            at = base + best
+            merged = pair[at]
             if taken is not None:
-                taken.append((live, candidate(o[rows, best], merged[rows, best])))
-            s[rows, best] = merged[rows, best]
-            drop = np.ones(s.shape, bool)
-            drop[rows, best + 1] = False
-            sym[live, : wide - 1] = s[drop].reshape(len(live), wide - 1)
-            offset[live, : wide - 1] = o[drop].reshape(len(live), wide - 1)
-            sym[live, wide - 1] = -(1 << 30)
-            count[live] -= 1
-            live = live[count[live] > 1]
-        kept = np.arange(width) < count[:, None]
-        flat = sym[kept].astype("<u4").tobytes()
+                taken.append((live, candidate(best, merged)))
+            lost = base + after[at]
+            right, left = after[lost], before[at]
+            flat[at], flat[lost], after[at] = merged, gone, right
+            value[at] = value[lost] = -np.inf
+            more, less = right < count[live], left >= 0
+            before[base[more] + right[more]] = best[more]
+            value[base[less] + left[less]] = -np.inf
+            weigh(np.concatenate([live[more], live[less]]), np.concatenate([best[more], left[less]]), np.concatenate([right[more], best[less]]))
+        kept = sym != gone
+        count = kept.sum(axis=1)
+        packed = sym[kept].astype("<u4").tobytes()
         ends = (4 * np.cumsum(count)).tolist()
-        out = [flat[i:j] for i, j in zip([0, *ends], ends)]
+        out = [packed[i:j] for i, j in zip([0, *ends], ends)]
         for i in np.flatnonzero(((sym < 0) & kept).any(axis=1)):
-            ids = [x for v in sym[i, : count[i]].tolist() for x in ([v] if v >= 0 else [t.byte[b] for b in chr(-1 - v).encode()])]
+            ids = [x for v in sym[i, kept[i]].tolist() for x in ([v] if v >= 0 else [t.byte[b] for b in chr(-1 - v).encode()])]
             out[i] = np.array(ids, "<u4").tobytes()
         return out
 
@@ -340,7 +351,7 @@ class PieceEncoder:
         if not t.is_byte[ids].any():
             text = "".join(t.spelled[ids])
         else:
-            text = b"".join(bytes([t.byte_of[i]]) if i in t.byte_of else t.text[i].encode() for i in ids.tolist() if i not in t.empty).decode("utf-8", "replace")
+            text = b"".join(t.raw[ids].tolist()).decode("utf-8", "replace")
         return text[1:] if text[:1] == " " else text
 
 
