@@ -1,10 +1,11 @@
 """Work that moved off the driver or was made cheaper: same results by plainer ways."""
 
 import os
+import random
 
 import numpy as np
 
-from tidewright.llm import pieces, quality
+from tidewright.llm import pieces, quality, toxicity
 from tidewright.llm.common import vocabulary
 
 WORDS = ["a", "ab", "the", "été", "日本語", "\ud800x", quality.AGAIN, "x" * 5000, "ab"]
@@ -64,3 +65,43 @@ def test_byte_pieces_decode_from_a_table():
     assert encoder.decode(ids) == text and b"".join(t.raw[ids]).decode() == " " + text
     odd = sorted(t.empty) + [t.byte[0xFF], t.byte[0x41]]  # control pieces give nothing, a stray byte a replacement character
     assert encoder.decode(np.array(odd)) == "\ufffdA"
+
+
+def whole_lattice(channel, token):
+    """Viterbi from the first to the last character."""
+    states = {0: (0.0, "")}
+    for options in [*channel.readings(token), [(" ", 0.0)]]:
+        after = {}
+        for state, (score, text) in states.items():
+            for c, cost in options:
+                s = toxicity.symbol(c) if c else -1
+                if s < 0 or (s == 0 and state % toxicity.SYMBOLS == 0):
+                    to, new = state, (score + cost, text)
+                else:
+                    at = state * toxicity.SYMBOLS + s
+                    to, new = at % toxicity.SYMBOLS**3, (score + cost + channel.flat[at], text + c)
+                after[to] = max(after.get(to, new), new)
+        states = after
+    return max(states.values())[1].strip()
+
+
+def test_only_the_unsure_part_of_a_token_is_decoded(monkeypatch):
+    rng, texts = random.Random(5), ["the stupid idiot runs a committee of happy fools"] * 3
+    channel = toxicity.Channel(toxicity.smooth(toxicity.sequences(texts).astype("f8")))
+    tokens = ["committee", "happy", "st1d", "s t u p i d", "plain", "", "²²a", "_x_", "xx"]
+    tokens += ["".join(rng.choices("abdeiloppst  15$@!.-é²µ日", k=rng.randint(1, 14))) for _ in range(2000)]
+    found = [channel.decode(t) for t in tokens]
+    assert found == [whole_lattice(channel, t) for t in tokens]
+    seen, readings = [], channel.readings
+    monkeypatch.setattr(channel, "readings", lambda token: seen.append(token) or readings(token))
+    assert [channel.decode(t) for t in ("stupidd", "happily", "plain")] == [whole_lattice(toxicity.Channel(channel.model), t) for t in ("stupidd", "happily", "plain")]
+    assert seen == ["dd", "ppily", ""]
+
+
+def test_evidence_of_texts_beyond_the_memos(monkeypatch):
+    channel = toxicity.Channel(toxicity.smooth(toxicity.sequences(["some words of a text"]).astype("f8")))
+    scorer = toxicity.Scorer(channel, {"grim$": 2.0, "worse$": 3.0}, -1.0)
+    monkeypatch.setattr(toxicity, "MEMO", 2)
+    for _ in range(2):
+        assert [scorer.evidence(t) for t in ("some grim text that goes onwards", "worse than grim", "", "fine words only here")] == [2.0, 5.0, 0.0, 0.0]
+        assert len(scorer.memo) < 12

@@ -23,6 +23,7 @@ import re
 import unicodedata
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,10 @@ EDGE = ".,;:!?\"()[]{}<>|*$%&#=/\\~_-+'`«»¿¡…·•@^"
 SIGN, DROP, REPEAT, ASIS, DOUBLE, PUT = -1.0, -1.2, -0.4, -6.0, -2.0, -2.5
 WORD = re.compile("[^ \u0009-\u000d]+")
 TWICE = re.compile(r"([^\W\d_])\1")
+UNSURE = re.compile(r"[\W\d_]|([^\W\d_])\1")  # where a token may begin to have several readings
 SHORT = 3
 RUN = re.compile(r"(?<!\S)\S{1,%d}(?:\s+\S{1,%d})+(?!\S)" % (SHORT, SHORT))
+RUNS = re.compile(f"({RUN.pattern})")
 ORDER, SYMBOLS = 4, 32
 
 
@@ -145,10 +148,29 @@ class Channel:
         return out
 
     def decode(self, token: str) -> str:
-        """The likeliest reading of a token; boundaries come out as spaces. Of equal ones the greatest text."""
+        """The likeliest reading of a token; boundaries come out as spaces. Of equal ones the greatest text.
+
+        Letters before the first choice and, once one reading is left, behind the last one are taken over: all readings share them.
+        """
         flat, context = self.flat, SYMBOLS**3
-        states: dict[int, tuple[float, str]] = {0: (0.0, "")}
-        for options in [*self.readings(token), [(" ", 0.0)]]:
+        first = UNSURE.search(token)
+        sure = token[: first.start()] if first else token
+        if not sure.isalpha():
+            sure = ""
+        begin = 0
+        for c in sure[-3:]:
+            begin = begin * SYMBOLS + symbol(c)
+        rest = token[len(sure) :]
+        lattice = self.readings(rest)
+        last = len(lattice) - 1
+        while last >= 0 and len(lattice[last]) == 1:
+            last -= 1
+        states: dict[int, tuple[float, str]] = {begin: (0.0, sure)}
+        for i, options in enumerate([*lattice, [(" ", 0.0)]]):
+            if i > last and len(states) == 1:
+                tail = rest[i:]
+                if not tail or tail.isalpha():
+                    return (next(iter(states.values()))[1] + tail).strip()
             if len(options) == 1 and len(states) == 1:  # one way on
                 (state, (score, text)), ((c, cost),) = next(iter(states.items())), options
                 s = symbol(c)
@@ -179,6 +201,9 @@ class Channel:
         known = self.memo.get(token)
         if known is not None:
             return known
+        if token.isalpha() and not TWICE.search(token):
+            self.memo[token] = found = (token,)
+            return found
         core = token.strip(EDGE)
         at = token.find(core) if core else 0
         if core and at and token[at - 1] in "@$!|(" and core[0].isalpha() and (at == 1 or token[at - 2] != token[at - 1]):
@@ -206,12 +231,12 @@ class Channel:
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
-        text = text.lower()
-        out: set[str] = set()
-        runs = set(RUN.findall(text))
-        for token in set(WORD.findall(RUN.sub(" ", text) if runs else text)):
-            out.update(self.token(token))
-        for run in {" ".join(found.split()) for found in runs}:
+        parts = RUNS.split(text.lower())  # by turns without and with runs
+        tokens = set(WORD.findall(" ".join(parts[::2])))
+        for token in tokens.difference(self.memo):
+            self.token(token)
+        out = set(chain.from_iterable(map(self.memo.__getitem__, tokens)))
+        for run in {" ".join(found.split()) for found in set(parts[1::2])}:
             out.update(self.run(run))
         if len(self.memo) > MEMO:
             self.memo.clear()
@@ -237,8 +262,6 @@ class Scorer:
     def word(self, word: str) -> float:
         known = self.memo.get(word)
         if known is None:
-            if len(self.memo) > MEMO:
-                self.memo.clear()
             known = self.memo[word] = max((self.weights.get(f, 0.0) for f in features_of(word)), default=0.0)
         return known
 
@@ -246,7 +269,15 @@ class Scorer:
         return 1 / (1 + math.exp(-min(max(self.bias + self.slope * self.evidence(text), -40.0), 40.0)))
 
     def evidence(self, text: str) -> float:
-        return math.fsum(map(self.word, self.channel.words(text)))
+        return self.total(self.channel.words(text))
+
+    def total(self, words: set[str]) -> float:
+        """The summed evidence of words."""
+        if len(self.memo) > MEMO:
+            self.memo.clear()
+        for word in words.difference(self.memo):
+            self.word(word)
+        return math.fsum(map(self.memo.__getitem__, words))
 
 
 def association(a: Column, b: Column, n1: int, n0: int) -> Column:
@@ -298,7 +329,7 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
 
     def weighed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [math.fsum(map(first.value.word, ws or ())) for ws in batch.column(2).to_pylist()]
+            found = [first.value.total(set(ws or ())) for ws in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.float64())], names=["doc_id", "y", "e"])
 
     data = rows.select("doc_id", "y", "w").mapInArrow(weighed, "doc_id long, y int, e double").toPandas().sort_values(["doc_id", "e"])  # at most `sample` ids
