@@ -7,6 +7,7 @@ import numpy as np
 
 from tidewright.llm import pieces, quality, toxicity
 from tidewright.llm.common import vocabulary
+from tidewright.llm.ids import IdEncoder
 
 WORDS = ["a", "ab", "the", "été", "日本語", "\ud800x", quality.AGAIN, "x" * 5000, "ab"]
 
@@ -105,3 +106,14 @@ def test_evidence_of_texts_beyond_the_memos(monkeypatch):
     for _ in range(2):
         assert [scorer.evidence(t) for t in ("some grim text that goes onwards", "worse than grim", "", "fine words only here")] == [2.0, 5.0, 0.0, 0.0]
         assert len(scorer.memo) < 12
+
+
+def test_new_pre_tokens_go_to_the_library_together():
+    encoder = IdEncoder(vocabulary("byte_bpe_50k.json"))
+    words = {f" word{k}" for k in range(600)} | {"'s", "\n\n", " ÿ", "ÿÿ", "é", " 12", "\0", " " * 40}
+    alone = {w: np.array(encoder.library.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in words}
+    assert encoder._encoded(words) == alone
+    separator, encoder.separator = encoder.separator, None  # a vocabulary that could join across it
+    assert separator is not None and encoder._encoded(words) == alone
+    text = " it's we'll I'd they've 12½ÿ ɏx\n\n  y'z 'S'"
+    assert encoder.encode([text])[0] == np.array(encoder.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

@@ -20,11 +20,13 @@ from .common import MEMOS
 LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
 NUMBERS = "0-9²³¹¼-¾"
 SPACES = "\u0009-\u000d \u0085 "
-CUT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
+CUT = re.compile(f" ?[{LETTERS}]+|'(?:[stmd]|re|ve|ll)| ?[{NUMBERS}]+| ?[^{SPACES}{LETTERS}{NUMBERS}]+|[{SPACES}]+(?![^{SPACES}])|[{SPACES}]+")
 #: The byte alphabet: visible bytes stand for themselves, the others follow from 256 on.
 VISIBLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 HIDDEN = [b for b in range(256) if b not in VISIBLE]
 ALPHABET = "".join(chr(b if b in VISIBLE else 256 + HIDDEN.index(b)) for b in range(256))
+#: New pre-tokens go to the library JOINED at a time, behind each other with a byte between them that no UTF-8 text has.
+SEPARATOR, JOINED = 0xFF, 256
 BEYOND = re.compile("[^\u0000-ɏ]")
 
 
@@ -43,16 +45,28 @@ class IdEncoder:
         self.words = Tokenizer.from_file(path)  # for pre-tokens already cut, given in the vocabulary's byte alphabet
         self.words.encode_special_tokens = True
         self.words.pre_tokenizer = None
+        pieces = self.words.get_vocab()
+        merged = any(ALPHABET[SEPARATOR] in piece for piece in pieces if len(piece) > 1)
+        added = any(not token.special for token in self.words.get_added_tokens_decoder().values())
+        self.separator = None if merged or added else pieces.get(ALPHABET[SEPARATOR])  # None: the vocabulary could join across it
         self.memo: dict[str, bytes] = {}
         self.shared: set[str] = set()
         self.memo_size = memo_size
 
     def _encoded(self, words: set[str]) -> dict[str, bytes]:
         order, out = list(words), {}
+        joined = JOINED if self.separator is not None else 1
         for at in range(0, len(order), 8192):
-            part = order[at : at + 8192]
-            spelled = [w.encode().decode("latin-1").translate(ALPHABET) for w in part]
-            out.update((w, array("I", x.ids).tobytes()) for w, x in zip(part, self.words.encode_batch_fast(spelled, add_special_tokens=False)))
+            parts = [order[i : min(i + joined, at + 8192)] for i in range(at, min(at + 8192, len(order)), joined)]
+            spelled = [bytes([SEPARATOR]).join(map(str.encode, part)).decode("latin-1").translate(ALPHABET) for part in parts]
+            for part, x in zip(parts, self.words.encode_batch_fast(spelled, add_special_tokens=False)):
+                ids = array("I", x.ids)
+                if len(part) == 1:
+                    out[part[0]] = ids.tobytes()
+                    continue
+                ends = (4 * np.flatnonzero(np.frombuffer(ids, "u4") == self.separator)).tolist()
+                raw = ids.tobytes()
+                out.update(zip(part, [raw[i:j] for i, j in zip([0, *(e + 4 for e in ends)], [*ends, len(raw)])]))
         return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
