@@ -96,15 +96,15 @@ class Block:
 def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, item: int | None = None, shards: int | None = None, level: int = 1) -> None:
     """Writes the files of all documents below path. item: bytes of an id; 2 where the vocabulary and the end id allow it, else 4.
 
-    The dictionary is trained on the ids of DICTIONARY_DOCS documents, those of least hash of id and text in the whole table, of each its first
+    The dictionary is trained on the ids of DICTIONARY_DOCS documents, those of least hash of the id in the whole table, of each its first
     SAMPLE_BYTES; it decides the files' size only.
     """
     spark, tokenizer = docs.sparkSession, tokenizer or vocabulary("byte_bpe_50k.json")
     if item is None:
         item = 2 if max(encoder(tokenizer).library.get_vocab_size() - 1, end_id) < 1 << 16 else 4
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
-    drawn = docs.select(F.xxhash64("doc_id", "text").alias("r")).orderBy("r").limit(DICTIONARY_DOCS).agg(F.max("r")).first()[0]
-    least = docs.where(F.xxhash64("doc_id", "text") <= drawn) if drawn is not None else docs.limit(0)
+    drawn = docs.select(F.xxhash64("doc_id").alias("r")).orderBy("r").limit(DICTIONARY_DOCS).agg(F.max("r")).first()[0]
+    least = docs.where(F.xxhash64("doc_id") <= drawn) if drawn is not None else docs.limit(0)
 
     def serialized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, memo="ids"):

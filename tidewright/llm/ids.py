@@ -72,20 +72,28 @@ class IdEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids' bytes of each text, without any end id."""
         cuts = [None if BEYOND.search(t) else CUT.findall(t) for t in texts]
+        known = self.memo.get
+        found = [list(map(known, words or ())) for words in cuts]  # None: new
+        missing = [[i for i, x in enumerate(own) if x is None] if None in own else [] for own in found]
         new: set[str] = set()
-        for words in cuts:
-            if words:
-                fresh = set(words).difference(self.memo)
+        for words, at in zip(cuts, missing):
+            if at:
+                fresh = {words[i] for i in at}
                 self.shared |= fresh & new
                 new |= fresh
-        if len(self.memo) + len(new) > self.memo_size:
+        full = len(self.memo) + len(new) > self.memo_size
+        if full:
             if len(self.shared) > self.memo_size // 2:
                 self.shared.clear()
             self.memo = {w: self.memo[w] for w in self.shared & self.memo.keys()}
-            new = set().union(*filter(None, cuts)).difference(self.memo)
-        self.memo.update(self._encoded(new))
-        lookup = self.memo.__getitem__
-        return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(map(lookup, words)) for t, words in zip(texts, cuts)]
+        encoded = self._encoded(new)
+        self.memo.update(encoded)
+        for words, own, at in zip(cuts, found, missing):
+            for i in at:
+                own[i] = encoded[words[i]]
+            if full and words:  # the block's words stay as well
+                self.memo.update(zip(words, own))
+        return [np.array(self.library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() if words is None else b"".join(own) for t, words, own in zip(texts, cuts, found)]
 
 
 _encoders: dict[str, IdEncoder] = {}
