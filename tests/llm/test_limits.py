@@ -2,6 +2,7 @@
 
 import os
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -68,6 +69,30 @@ def test_byte_pieces_decode_from_a_table():
     assert encoder.decode(np.array(odd)) == "\ufffdA"
 
 
+def test_op1_runs_one_worker_a_task(spark, sf):
+    plan = pieces.op1_query(spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+    rows = [(1, "a▁b \U0001f600\n\0 日本"), (2, None), (3, ""), (None, " x  y "), (2, "same id, other text"), (-5, "word " * 3000), (7, "z" * 700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = [tuple(r) for r in pieces.round_trip(docs, rate=0.3, seed=11).collect()]
+    assert found == [tuple(r) for r in pieces.decode(pieces.encode(docs, rate=0.3, seed=11)).collect()]
+    assert [(r[0], r[3]) for r in found] == [(d, t or "") for d, t in rows]
+
+
+def test_chunks_met_once_are_not_kept():
+    texts = [" ".join(f"{k}x{i}" for i in range(4000)) for k in range(10)]
+    encoder, other = (pieces.PieceEncoder(vocabulary("piece_bpe_32k.model")) for _ in range(2))
+    encoder.encode([0], ["a"])
+    tracemalloc.start()
+    ids = [encoder.encode([k], [text])[0] for k, text in enumerate(texts)]
+    kept = tracemalloc.get_traced_memory()[0] - sum(map(len, ids))
+    tracemalloc.stop()
+    assert kept < 1_000_000
+    assert ids == other.encode(list(range(10)), texts)  # in one block
+    other.once[:] = True  # every chunk is learned at once
+    assert ids == other.encode(list(range(10)), texts) and encoder.encode(list(range(10)), texts) == ids
+
+
 def whole_lattice(channel, token):
     """Viterbi from the first to the last character."""
     states = {0: (0.0, "")}

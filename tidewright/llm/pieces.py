@@ -18,7 +18,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterator
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,9 @@ from .common import MEMOS, blocks, read_table, spread, vocabulary
 SPACE = "▁"
 CHUNK = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 DROPOUT, SEED, MEMO = 0.1, 7, 400_000
-BATCH_CHUNKS, BLOCK, OCCURRENCES = 20_000, 3_000_000, 200_000
+BATCH_CHUNKS, BLOCK, OCCURRENCES = 20_000, 1_000_000, 200_000
+#: Slots of a worker's note on chunks met once (by hash, no chunk is kept): a power of two.
+ONCE = 1 << 22
 #: A longer chunk hardly keeps all of its merges: its agenda runs at once.
 LONG = 40
 #: The agenda of a chunk beyond this length is a heap: rounds over all its pairs would take time by the square of the length.
@@ -149,7 +151,7 @@ class PieceEncoder:
         """Empties the memo: numbers of chunks; by number the plain ids, where the plain merges begin, how many; and all merges."""
         self.number: dict[str, int] = {}
         self.plain: list[bytes] = []
-        self.once: set[str] = set()  # chunks met in one document so far: not learned yet
+        self.once = np.zeros(ONCE, bool)  # slots of chunks met in one document so far: not learned yet
         self.first, self.merges, self.path = np.zeros(0, "i8"), np.zeros(0, "i8"), np.zeros(0, "u8")
 
     def agenda(self, chunks: list[str], keys: list[int] | np.ndarray, rate: float | None = None, taken: list | None = None) -> list[bytes]:
@@ -320,12 +322,13 @@ class PieceEncoder:
             chunks = chunks.difference(self.number)
             again |= chunks & fresh
             fresh |= chunks
-        again |= fresh & self.once
+        slots = np.fromiter(map(hash, fresh), "i8", len(fresh)) & (ONCE - 1)
+        again.update(compress(fresh, self.once[slots].tolist()))  # two chunks in a slot: learned a document early
         if len(self.number) + len(again) > self.memo_size:
             self._forget()
-        if len(self.once) + len(fresh) > self.memo_size:
-            self.once.clear()
-        self.once |= fresh - again
+        if np.count_nonzero(self.once) + len(fresh) > self.memo_size:
+            self.once[:] = False
+        self.once[slots] = True
         self._learn({c for c in again if len(c) <= LONG})
         found, at = [], 0
         while at < len(cuts):  # documents together, up to a number of chunks
@@ -366,6 +369,19 @@ def encoder(path: str, rate: float, seed: int) -> PieceEncoder:
     return _encoders[key]
 
 
+def _encoded(own: PieceEncoder, batch: pa.RecordBatch, texts: list[str]) -> list[pa.Array]:
+    ids = own.encode(batch.column(0).to_pylist(), texts)
+    return [batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())]
+
+
+def _decoded(own: PieceEncoder, ids: pa.Array) -> pa.Array:
+    return pa.array([own.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in ids], pa.string())
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+
+
 def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """doc_id, ids (little-endian u4 bytes), n_ids of every document."""
     path = path or vocabulary("piece_bpe_32k.model")
@@ -373,10 +389,9 @@ def encode(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, rate, seed)
         for batch, texts in blocks(batches, limit=BLOCK, memo="pieces"):
-            ids = own.encode(batch.column(0).to_pylist(), texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], names=["doc_id", "ids", "n_ids"])
+            yield pa.RecordBatch.from_arrays(_encoded(own, batch, texts), names=["doc_id", "ids", "n_ids"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).mapInArrow(run, "doc_id long, ids binary, n_ids long")
+    return _documents(docs).mapInArrow(run, "doc_id long, ids binary, n_ids long")
 
 
 def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
@@ -388,13 +403,25 @@ def decode(frame: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                texts = [own.decode(np.frombuffer(x.as_py() or b"", "<u4")) for x in part.column(1)]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "n_ids", "text"])
+                yield pa.RecordBatch.from_arrays([*part.columns, _decoded(own, part.column(1))], names=["doc_id", "ids", "n_ids", "text"])
 
     return frame.select("doc_id", "ids", "n_ids").mapInArrow(run, "doc_id long, ids binary, n_ids long, text string")
 
 
+def round_trip(docs: DataFrame, path: str | None = None, rate: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """decode(encode(docs)) in one worker a task, which has one table and one copy of a block; text is decoded from the column of ids."""
+    path = path or vocabulary("piece_bpe_32k.model")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = encoder(path, rate, seed)
+        for batch, texts in blocks(batches, limit=BLOCK, memo="pieces"):
+            found = _encoded(own, batch, texts)
+            yield pa.RecordBatch.from_arrays([*found, _decoded(own, found[1])], names=["doc_id", "ids", "n_ids", "text"])
+
+    return _documents(docs).mapInArrow(run, "doc_id long, ids binary, n_ids long, text string")
+
+
 def op1_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document: number and unsigned crc32 of the ids, and crc32 of the UTF-8 text that they decode to."""
-    back = decode(encode(spread(read_table(spark, sf_dir, "documents"))))
+    back = round_trip(spread(read_table(spark, sf_dir, "documents")))
     return back.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"))
