@@ -1,10 +1,11 @@
 """Sinks, external steps with fakes, corrected semantics with values written by hand, augmentation."""
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewright import dims
+from tidewright import catalog, dims
 from tidewright.functions import extract, text, urls
 from tidewright.operators import audio, results
 from tidewright.sources import external, sinks
@@ -149,3 +150,22 @@ def test_clock_and_shares(spark):
     assert one(spark, results.topic_limit(F.lit(3)), results.article_limit(F.lit(30))) == (12, 90)
     shuffled = results.numbered(spark.range(0, 1000, 1, 7).select(((F.col("id") * 37) % 1000).alias("k")), "k")
     assert shuffled.where("k <> idx").count() == 0
+
+
+def test_sizes_at_half_a_hundredth(spark):
+    sizes = [k * 131072 for k in range(1, 400)] + [k * 131072 + 131072 * 1600 for k in range(1, 400)] + [k * 131072 + d for k in (1, 5, 2601, 2605) for d in (-1, 1)] + [(1 << 40) + 131072, (1 << 52) + 12345, 0, None]
+    rows = spark.createDataFrame([(s,) for s in sizes], "size long").select("size", results.size_reason(F.col("size"), 50.0, 200.0).alias("reason")).collect()
+    assert len(rows) == len(sizes)
+    for size, reason in rows:
+        mb = None if size is None else size / 1048576
+        expected = None if mb is None else f"file too small: {mb:.2f} MB < 50.00 MB" if mb < 50 else f"file too large: {mb:.2f} MB > 200.00 MB" if mb > 200 else None
+        assert reason == expected, size
+
+
+def test_size_reasons_equals_sql_at_half_a_hundredth(spark, tmp_path):
+    """Keys that only tables larger than sf0.1 have."""
+    con = duckdb.connect()
+    con.execute("create table events as select unnest([200873, 249001, 297129, 345257, 393385, 7])::bigint as event_id, 0.5 as value")
+    con.execute(f"copy events to '{tmp_path}/events.parquet' (format parquet)")
+    found = catalog.QUERIES["size_reasons"](spark, str(tmp_path)).select("ord", "reason").collect()
+    assert sorted(map(tuple, found)) == sorted(con.execute(f"select ord, reason from ({catalog.ORACLES['size_reasons']})").fetchall())

@@ -26,13 +26,18 @@ def size_mb(size: Column) -> Column:
     return size / F.lit(1048576.0)
 
 
+def two_decimals(x: Column) -> Column:
+    """With two decimals; an exact half of a hundredth goes to the even one, as SQL's and Python's format do (format_string takes it up)."""
+    return F.call_function("format_number", x, F.lit("0.00"))
+
+
 def size_reason(size: Column, low: float | None, high: float | None) -> Column:
     """Why a file of this many bytes is out, with its size in MB; null if it is within the limits."""
     mb, out = size_mb(size), F.when(size.isNull(), F.lit(None).cast("string"))
     if low is not None:
-        out = out.when(mb < low, F.format_string(f"file too small: %.2f MB < {low:.2f} MB", mb))
+        out = out.when(mb < low, F.concat(F.lit("file too small: "), two_decimals(mb), F.lit(f" MB < {low:.2f} MB")))
     if high is not None:
-        out = out.when(mb > high, F.format_string(f"file too large: %.2f MB > {high:.2f} MB", mb))
+        out = out.when(mb > high, F.concat(F.lit("file too large: "), two_decimals(mb), F.lit(f" MB > {high:.2f} MB")))
     return out
 
 
